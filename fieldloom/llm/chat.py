@@ -59,7 +59,7 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
     def window(k: Column) -> Column:
         frm = F.get("starts", k)
         upto = F.coalesce(F.get("starts", k + 1), F.size(t))
-        before = F.when(frm > F.col("first"), F.sequence(F.greatest(F.col("first"), frm - history), frm - 1)).otherwise(F.array().cast("array<int>"))
+        before = F.when((frm > F.col("first")) & F.lit(history > 0), F.sequence(F.greatest(F.col("first"), frm - max(history, 1)), frm - 1)).otherwise(F.array().cast("array<int>"))
         told = F.get(t, frm - 1)["upto"]
         n = F.size(F.filter(before, lambda j: told - F.get(t, j)["upto"] + F.get(t, j)["tokens"] <= history))
         turns = F.concat(F.when(F.col("first") == 1, F.slice(t, 1, 1)).otherwise(F.slice(t, 1, 0)), F.slice(t, frm - n + 1, upto - frm + n))
