@@ -57,3 +57,35 @@ def per_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Ite
 def width(spark: SparkSession) -> int:
     """Reducers for large exchanges, as the session is set."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+#: A class with more than one part in so many of the rows is joined by broadcast: there are fewer such classes than this.
+HOT_SHARE = 1024
+#: Values a prefilter may broadcast, whatever the size of the tables.
+BUCKETS = 1 << 20
+
+
+def attach(rows: DataFrame, classes: DataFrame, keys: list[str], size: str = "group_size", n: int | None = None) -> DataFrame:
+    """rows left-joined with classes (one row a key), without a hot key in one task.
+
+    The rows of classes that hold over 1/HOT_SHARE of all rows meet their class
+    by broadcast, of under HOT_SHARE rows; the others by a shuffled join, where
+    no key has more rows than that share.
+    """
+    n = rows.count() if n is None else n
+    hot = F.broadcast(classes.filter(F.col(size) * HOT_SHARE > n))
+    rest = classes.filter(F.col(size) * HOT_SHARE <= n)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys, "left"))
+
+
+def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose key is in ids (distinct, one column): a semi-join that shuffles few others.
+
+    First the keys' hashes modulo BUCKETS, at most that many values, are
+    broadcast to drop most rows that have no partner; then the semi-join proper.
+    With very many ids the first step passes everything and the second is exact.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(BUCKETS)).cast("int")
+    slots = F.broadcast(ids.select(slot(F.col(key)).alias("_slot")).distinct())
+    near = rows.withColumn("_slot", slot(F.col(key))).join(slots, "_slot", "left_semi").drop("_slot")
+    return near.join(ids, key, "left_semi")

@@ -23,12 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import SPACE, materialize, text_or_empty, width
+from fieldloom.llm.common import SPACE, attach, materialize, text_or_empty, width
 
 KEY = ["sha", "n_bytes", "check"]
 RUN = "node int, sha binary, n_bytes long, check long, keep_id long, group_size long"
-#: A class larger than one part in so many is joined by broadcast; there are fewer such classes than this.
-HOT_SHARE = 1024
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,10 +101,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     own = materialize(digests(docs, id_col, text_col), "digests")
     classes = materialize(merge_runs(own, fan_in).filter("group_size > 1"), "digest-classes")
-    n = own.count()
-    hot = classes.filter(F.col("group_size") * HOT_SHARE > n)
-    rest = classes.filter(F.col("group_size") * HOT_SHARE <= n)
-    joined = own.join(F.broadcast(hot), KEY).unionByName(own.join(F.broadcast(hot.select(*KEY)), KEY, "left_anti").join(rest, KEY, "left"), allowMissingColumns=True)
+    joined = attach(own, classes, KEY)
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 

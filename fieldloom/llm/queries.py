@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldloom.llm.chat import format_windows, read_windows
 from fieldloom.llm.common import per_batch, table
 from fieldloom.llm.exact_dedup import exact_duplicates
+from fieldloom.llm.near_dedup import near_duplicates
 from fieldloom.llm.packing import pack
 from fieldloom.llm.quality import quality_rules
 from fieldloom.llm.secrets import scan_secrets
@@ -41,6 +42,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, share=85)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.mapInArrow(per_batch(make), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_packing, op5_chat_windows, op6_exact_dedup, op9_secret_scan)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_packing, op5_chat_windows, op6_exact_dedup, op8_near_dedup, op9_secret_scan)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
