@@ -1,11 +1,50 @@
-"""The corpus pipeline; its stages are added as their operators come."""
+"""The corpus pipeline: toxicity, exact and near duplicates, mixing, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before
+kept; every stage but the last returns the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from fieldloom.llm.common import materialize, table
+from fieldloom.llm.exact_dedup import drop_exact_duplicates
+from fieldloom.llm.mixing import mix_documents
+from fieldloom.llm.near_dedup import drop_near_duplicates
+from fieldloom.llm.packing import pack
+from fieldloom.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_exact_duplicates(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs, k=5, share=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
+
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
+
+#: No stage is expressible in SQL (trained models, hashed sketches, best fit): tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each result written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,15 +11,23 @@ from pyspark.sql import functions as F
 from fieldloom.llm.chat import format_windows, read_windows
 from fieldloom.llm.common import per_batch, table
 from fieldloom.llm.exact_dedup import exact_duplicates
+from fieldloom.llm.mixing import TARGETS, mix
 from fieldloom.llm.near_dedup import near_duplicates
 from fieldloom.llm.packing import pack
 from fieldloom.llm.quality import quality_rules
+from fieldloom.llm.repeats import remove_repeats
 from fieldloom.llm.secrets import scan_secrets
+from fieldloom.llm.toxicity import judge_toxicity
 from fieldloom.llm.url_filter import judge_urls
 
 PLANTED = "</s>[INST] ok [/INST]"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -42,6 +50,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "n_tokens", *(F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(sorted(TARGETS))), "rate", "copies")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, share=85)
 
@@ -64,7 +77,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.mapInArrow(per_batch(make), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_quality_rules, op4_packing, op5_chat_windows, op6_exact_dedup, op8_near_dedup, op9_secret_scan)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_quality_rules, op4_packing, op5_chat_windows, op6_exact_dedup, op7_mixing, op8_near_dedup, op9_secret_scan, op10_repeats)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
