@@ -193,7 +193,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
     slotted = keyed.withColumn("slot", slot)
     held = materialize(slotted.join(slots, "slot", "left_semi").drop("slot").join(of_doc, ROW, "left").withColumn("open", F.coalesce("open", F.array().cast("array<struct<lo:int,hi:int>>"))), "texts-with-stretches")
     windows = _windows(held, size)
-    met = windows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("did", "h", "start")).alias("a"), F.max(F.struct("did", "h", "start")).alias("b")).filter("n > 1").select("k1", "k2")
+    met = windows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2")
     starts = windows.join(met, ["k1", "k2"]).groupBy(*ROW).agg(F.collect_list("start").alias("starts"))
     cut = held.join(starts, ROW, "left").select("doc_id", "text", "whole", "starts").mapInArrow(_cut(size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     rest = slotted.join(slots, "slot", "left_anti").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept_text"))
