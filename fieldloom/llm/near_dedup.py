@@ -129,6 +129,23 @@ def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, share: int) -> Da
     return both.filter(F.lit(100) * common >= F.lit(share) * (F.size("shingles_a") + F.size("shingles_b") - common)).select("a", "b")
 
 
+def _linkable(members: DataFrame, reps: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """(bucket, doc, own): the members that can have a link in their bucket.
+
+    A shingle that no other candidate has is in no intersection. So with u of
+    them, a set of n meets one of m in at most n - u, and a link needs
+    ``(100 + share) * (n - u) >= share * (n + m)``, where m is at least the
+    smallest set of the bucket and share per cent of n. ``own`` is the share of u
+    in thousandths: members with little of their own are heads first.
+    """
+    lone = sets.select("doc", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc")).filter("n = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("u"))
+    facts = reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")).join(lone, "doc", "left").select("doc", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    told = members.join(facts, "doc")
+    least = told.groupBy("bucket").agg(F.min("n").alias("m"))
+    m = F.greatest(F.col("m"), F.ceil(F.lit(share) * F.col("n") / 100))
+    return told.join(least, "bucket").filter(F.lit(100 + share) * (F.col("n") - F.col("u")) >= F.lit(share) * (F.col("n") + m)).select("bucket", "doc", F.floor(F.lit(1000) * F.col("u") / F.col("n")).alias("own"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = BANDS, rows: int = ROWS, heads: int = HEADS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
@@ -147,19 +164,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = B
     sets = materialize(shingle_sets(only(docs, members.select(F.col("doc").alias("doc_id")).distinct()), k), "shingle-sets")
     # rows that repeat a doc_id give one set
     sets = sets.groupBy("doc").agg(F.first("shingles").alias("shingles"))
+    members = materialize(_linkable(members, reps, sets, share), "linkable")
     links = tested = labels = None
     first = heads
     while True:
-        at = members.withColumn("comp", F.col("doc")) if labels is None else members.join(labels, F.col("doc") == F.col("node"), "left").select("bucket", "doc", F.coalesce("component", "doc").alias("comp"))
+        at = members.withColumn("comp", F.col("doc")) if labels is None else members.join(labels, F.col("doc") == F.col("node"), "left").select("bucket", "doc", "own", F.coalesce("component", "doc").alias("comp"))
         open_ = at.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("bucket")
         live = materialize(at.join(open_, "bucket"), "buckets")
-        heads = live.withColumn("nth", F.row_number().over(Window.partitionBy("bucket").orderBy("doc"))).filter(F.col("nth") <= first).select("bucket", F.col("doc").alias("a"), F.col("comp").alias("ca"))
-        heads = materialize(heads, "heads")
-        pairs = live.withColumnRenamed("doc", "b").join(heads, "bucket").filter("b > a and comp <> ca").select("a", "b").distinct()
+        order = Window.partitionBy("bucket").orderBy("own", "doc")
+        front = live.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= first).select("bucket", F.struct("own", "doc").alias("head"), F.col("comp").alias("ca"))
+        front = materialize(front, "heads")
+        pairs = live.join(front, "bucket").filter("struct(own, doc) > head and comp <> ca").select(F.least("doc", "head.doc").alias("a"), F.greatest("doc", "head.doc").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        members = live.join(heads.groupBy("bucket").agg(F.max("a").alias("last")), "bucket").filter("doc > last").select("bucket", "doc")
+        members = live.join(front.groupBy("bucket").agg(F.max("head").alias("last")), "bucket").filter("struct(own, doc) > last").select("bucket", "doc", "own")
         first *= 8
         fresh = pairs.limit(1).count()
         if fresh:
