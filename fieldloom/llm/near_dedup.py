@@ -7,8 +7,10 @@ a bucket: in each round its first members, the heads, are paired with all later
 members of other components and then leave it, one head at first and eight times
 as many each round; a bucket is done when its remaining members are in one
 component. So every pair of a bucket is either tested or inside one component,
-whatever the bucket's size. Pairs are first held against one byte of each minimum, at a distance of over six standard
-deviations, and links are confirmed on the full sets.
+whatever the bucket's size. Members whose own shingles, that no other candidate
+has, rule out any link leave before (see _linkable). Pairs are first held
+against sketches, in blocks (see _likely), and links are confirmed on the full
+sets.
 
 The defaults miss a pair of similarity 0.85 with probability below 1e-10 and of
 0.8 below 1e-7.
@@ -25,7 +27,7 @@ from fieldloom.llm.common import attach, materialize, only, per_batch
 from fieldloom.llm.components import connected_components
 
 BANDS, ROWS, HEADS, SEED = 32, 4, 1, 20_250
-SLACK = 0.22
+BINS, MEMBER_BLOCK, HEAD_BLOCK = 512, 256, 64
 KEY = ["key_hi", "key_lo", "n_shingles"]
 CHUNK = 1 << 15
 
@@ -64,8 +66,17 @@ def shingler(k: int):
     return shingles
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """A byte of the least hash in each of BINS ranges, 0 where a range has none."""
+    out = np.zeros(BINS, np.uint8)
+    slot = (s >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(slot, prepend=-1))
+    out[slot[first]] = (s[first] >> np.uint64(20)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
 def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, key_hi, key_lo, bands, low) of every row; low is a byte of each minimum."""
+    """(doc_id, n_shingles, key_hi, key_lo, bands, low) of every row; low is the sketch that pairs are first held against."""
 
     def make():
         import xxhash
@@ -86,15 +97,15 @@ def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) ->
                 if len(s):
                     least = np.min([(a * s[i : i + CHUNK] + b).min(axis=1) for i in range(0, len(s), CHUNK)], axis=0)
                     keys.append([xxhash.xxh3_64_intdigest(x.tobytes(), seed=i) - (1 << 63) for i, x in enumerate(least.reshape(bands, rows))])
-                    lows.append((least >> np.uint64(24)).astype(np.int8))
+                    lows.append(sketch(s))
                 else:
                     keys.append(None)
                     lows.append(None)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(lows, pa.list_(pa.int8()))], names=["doc_id", "n_shingles", "key_hi", "key_lo", "bands", "low"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(lows, pa.binary())], names=["doc_id", "n_shingles", "key_hi", "key_lo", "bands", "low"])
 
         return one
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(per_batch(make), "doc_id long, n_shingles long, key_hi long, key_lo long, bands array<long>, low array<byte>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(per_batch(make), "doc_id long, n_shingles long, key_hi long, key_lo long, bands array<long>, low binary")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -117,14 +128,57 @@ def _named(df: DataFrame, side: str) -> DataFrame:
     return df.select(*(F.col(c).alias(side if c == "doc" else f"{c}_{side}") for c in df.columns))
 
 
-def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+def _likely(live: DataFrame, front: DataFrame, reps: DataFrame, share: int) -> DataFrame:
+    """Distinct pairs (a, b) of a head and a later member of another component that the sketches don't rule out.
+
+    Members and heads meet in blocks. Of ranges that either set fills, the share
+    that agrees is a sample without replacement from the union; a pair is ruled
+    out six standard deviations below the similarity asked for. A pair is looked
+    at only in the first bucket that its members share.
+    """
+    own = reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "low", "bands")
+    cut = live.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).alias("cuts"))
+    rows = live.join(cut, "bucket").join(own, "doc")
+    members = rows.groupBy("bucket", F.pmod(F.xxhash64("doc"), "cuts").alias("cut")).agg(F.collect_list(F.struct("doc", "own", "comp", "n", "low", "bands")).alias("members"))
+    heads = front.select("bucket", "nth", F.col("head.own").alias("own"), F.col("head.doc").alias("doc"), F.col("ca").alias("comp")).join(own, "doc")
+    heads = heads.groupBy("bucket", F.floor((F.col("nth") - 1) / HEAD_BLOCK).alias("part")).agg(F.collect_list(F.struct("doc", "own", "comp", "n", "low", "bands")).alias("heads"))
+
+    def columns(value) -> list[np.ndarray]:
+        x = value.values
+        n = len(x)
+        ints = [x.field(k).to_numpy(zero_copy_only=False) for k in ("doc", "own", "comp", "n")]
+        return [*ints, np.frombuffer(b"".join(x.field("low").to_pylist()), np.uint8).reshape(n, -1), x.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)]
+
+    def run(batches):
+        for batch in batches:
+            left, right = [], []
+            for bucket, ms, hs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                doc, own_, comp, n, low, bands = columns(ms)
+                hdoc, hown, hcomp, hn, hlow, hbands = columns(hs)
+                for j in range(len(hdoc)):
+                    after = (own_ > hown[j]) | (own_ == hown[j]) & (doc > hdoc[j])
+                    at = np.flatnonzero(after & (comp != hcomp[j]) & (100 * np.minimum(n, hn[j]) >= share * np.maximum(n, hn[j])))
+                    if len(at):
+                        common = bands[at] == hbands[j]
+                        at = at[bands[at, common.argmax(axis=1)] == bucket]
+                    if len(at):
+                        filled = ((low[at] | hlow[j]) != 0).sum(axis=1)
+                        alike = ((low[at] == hlow[j]) & (hlow[j] != 0)).sum(axis=1)
+                        s = share / 100
+                        of = np.minimum(1.0, filled / ((n[at] + hn[j]) / (1 + s)))
+                        slack = 6 * np.sqrt(s * (1 - s) / filled * (1 - of)) + 2 / filled
+                        at = at[alike >= filled * (s - slack)]
+                        left += [np.minimum(doc[at], hdoc[j])]
+                        right += [np.maximum(doc[at], hdoc[j])]
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+
+    return members.join(heads, "bucket").select("bucket", "members", "heads").mapInArrow(run, "a long, b long").distinct()
+
+
+def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """Those of pairs (a, b) whose sets have 100 * intersection >= share * union."""
-    lows = reps.select(F.col("doc_id").alias("doc"), "low", F.col("n_shingles").alias("n"))
-    told = pairs.join(_named(lows, "b"), "b").join(_named(lows, "a"), "a")
-    agree = F.aggregate(F.zip_with("low_a", "low_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.size("low_a")
-    bound = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * share
-    told = told.filter(bound & (agree >= share / 100 - SLACK)).select("a", "b")
-    both = told.join(_named(sets, "b"), "b").join(_named(sets, "a"), "a")
+    both = pairs.join(_named(sets, "b"), "b").join(_named(sets, "a"), "a")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return both.filter(F.lit(100) * common >= F.lit(share) * (F.size("shingles_a") + F.size("shingles_b") - common)).select("a", "b")
 
@@ -172,9 +226,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = B
         open_ = at.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("bucket")
         live = materialize(at.join(open_, "bucket"), "buckets")
         order = Window.partitionBy("bucket").orderBy("own", "doc")
-        front = live.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= first).select("bucket", F.struct("own", "doc").alias("head"), F.col("comp").alias("ca"))
+        front = live.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= first).select("bucket", "nth", F.struct("own", "doc").alias("head"), F.col("comp").alias("ca"))
         front = materialize(front, "heads")
-        pairs = live.join(front, "bucket").filter("struct(own, doc) > head and comp <> ca").select(F.least("doc", "head.doc").alias("a"), F.greatest("doc", "head.doc").alias("b")).distinct()
+        pairs = _likely(live, front, reps, share)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
@@ -183,7 +237,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = B
         fresh = pairs.limit(1).count()
         if fresh:
             tested = pairs if tested is None else tested.unionByName(pairs)
-            more = materialize(_links(pairs, reps, sets, share), "links")
+            more = materialize(_links(pairs, sets, share), "links")
             links = more if links is None else links.unionByName(more)
             labels = connected_components(links)
         if not members.limit(1).count():
