@@ -4,7 +4,7 @@ Documents of one shingle set are a class, and its smallest id stands for it.
 Representatives get ``bands * rows`` minima; those that agree on all rows of a
 band share a bucket. Pairs come from buckets without ever listing all pairs of
 a bucket: in each round its first members, the heads, are paired with all later
-members of other components and then leave it, one head at first and eight times
+members of other components and then leave it, one head at first and GROWTH times
 as many each round; a bucket is done when its remaining members are in one
 component. So every pair of a bucket is either tested or inside one component,
 whatever the bucket's size. Members whose own shingles, that no other candidate
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from fieldloom.llm.common import attach, materialize, only, per_batch
 from fieldloom.llm.components import connected_components
 
-BANDS, ROWS, HEADS, SEED = 32, 4, 1, 20_250
+BANDS, ROWS, HEADS, GROWTH, SEED = 32, 4, 1, 32, 20_250
 BINS, MEMBER_BLOCK, HEAD_BLOCK = 512, 256, 64
 KEY = ["key_hi", "key_lo", "n_shingles"]
 CHUNK = 1 << 15
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = B
     # rows that repeat a doc_id give one set
     sets = sets.groupBy("doc").agg(F.first("shingles").alias("shingles"))
     members = materialize(_linkable(members, reps, sets, share), "linkable")
-    links = tested = labels = None
+    tested = labels = None
     first = heads
     while True:
         at = members.withColumn("comp", F.col("doc")) if labels is None else members.join(labels, F.col("doc") == F.col("node"), "left").select("bucket", "doc", "own", F.coalesce("component", "doc").alias("comp"))
@@ -233,13 +233,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = B
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         members = live.join(front.groupBy("bucket").agg(F.max("head").alias("last")), "bucket").filter("struct(own, doc) > last").select("bucket", "doc", "own")
-        first *= 8
-        fresh = pairs.limit(1).count()
-        if fresh:
+        first *= GROWTH
+        if pairs.limit(1).count():
             tested = pairs if tested is None else tested.unionByName(pairs)
             more = materialize(_links(pairs, sets, share), "links")
-            links = more if links is None else links.unionByName(more)
-            labels = connected_components(links)
+            if more.limit(1).count():
+                # stars of the components so far stand for all earlier links
+                links = more if labels is None else more.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+                labels = connected_components(links)
         if not members.limit(1).count():
             break
     if labels is None:
