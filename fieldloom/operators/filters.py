@@ -8,7 +8,25 @@ from pyspark.sql import functions as F
 from fieldloom.functions.text import alnum_tokens, camel_tokens, light_stem, normalise, words
 
 VAGUE = ("something", "anything", "whatever", "some data", "etc")
-TRIVIAL = ("id", "name", "type", "node", "data", "value", "list", "item", "items", "query", "field", "object")
+# fixed values: names that are everyday words, and for leakage also common words of queries
+EVERYDAY = (
+    "id", "name", "type", "value", "data", "item", "list", "count", "total",
+    "date", "time", "user", "post", "order", "cart", "hotel", "flight", "trip",
+    "product", "catalog", "unit", "text", "body", "record", "mode", "state",
+    "status", "created", "updated", "amount", "price", "active", "label",
+    "title", "notes", "start", "email", "phone", "image", "score", "error",
+    "token", "slug", "field", "when", "last", "update", "create", "creation", "unique",
+    "identifier", "display", "number", "model", "case", "times", "member",
+)
+TRIVIAL = (
+    *EVERYDAY,
+    "which", "what", "this", "that", "with", "from", "have", "does", "used",
+    "tell", "show", "give", "find", "look", "help", "need", "want", "know",
+    "there", "here", "some", "only", "also", "more", "most", "many", "each",
+    "been", "info", "read", "like", "make", "take", "come", "work", "year",
+)
+# fixed values: names that every owner has
+GENERIC = ("id", "createdat", "updatedat", "deletedat", "publishedat", "version", "type")
 
 
 def min_quality(df: DataFrame, quality: str = "quality", least: float = 0.25) -> DataFrame:
@@ -51,6 +69,6 @@ def leaks_schema(query: Column, owner: Column, field: Column) -> Column:
     return F.arrays_overlap(query_stems(query), stems(F.concat(camel_tokens(owner), camel_tokens(field))))
 
 
-def ambiguous_names(coords: DataFrame, generic: tuple[str, ...] = ("id", "name", "type", "node", "edges", "cursor", "nodes"), least: int = 2) -> DataFrame:
+def ambiguous_names(coords: DataFrame, generic: tuple[str, ...] = GENERIC, least: int = 2) -> DataFrame:
     """(field_name, owners): names that at least so many owners have."""
     return coords.select(F.lower("field_name").alias("field_name"), "owner_type").filter(~F.col("field_name").isin(*generic)).groupBy("field_name").agg(F.count_distinct("owner_type").alias("owners")).filter(F.col("owners") >= least)

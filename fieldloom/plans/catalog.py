@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.functions import text as T
-from fieldloom.operators import filters, mining, retrieval, tables
+from fieldloom.operators import compare, filters, generation, mining, planning, retrieval, tables
 from fieldloom.plans import views
 
 
@@ -51,7 +51,7 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coordinate_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, f, r = F.col("owner_type"), F.col("field_name"), F.col("return_type")
-    return coords(spark, sf_dir).select("doc_id", "coordinate", views.signature(o, f, r).alias("signature"), views.sdl(o, f, r).alias("sdl"), views.semantic(o, f, r, F.lit(None).cast("string"), F.split(f, " ")).alias("semantic"), views.keywords(o, f, r).alias("keywords"))
+    return coords(spark, sf_dir).select("doc_id", "coordinate", views.signature(o, f, r).alias("signature"), views.sdl(o, f, r).alias("sdl"), views.semantic(o, f, r, F.lit(None).cast("string"), F.lit(" ")).alias("semantic"), views.keywords(F.col("coordinate"), o, f, r).alias("keywords"))
 
 
 def clear_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,67 @@ def bucket_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("entries"), F.sum(F.col("c") * F.col("c")).alias("norm2"), F.sum(F.col("b") * F.col("c")).alias("checksum"))
 
 
-QUERIES = {f.__name__: f for f in (retrieval_metrics, top_k_search, text_functions, coordinate_views, clear_queries, world_leakage, strict_leakage, ambiguous_names, sibling_counts, mined_confusers, tiered_negatives, margin_buckets, stratified_items, best_by_text, family_split, sanity_sample, slice_metrics, content_hash, stage_counts, best_epoch, curated_merge, bucket_vectors)}
+def competition_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planning.competition_sets(coords(spark, sf_dir))
+
+
+def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planning.batch_plan(coords(spark, sf_dir).withColumn("requested", 1 + F.col("doc_id") % 4), 40)
+
+
+def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = coords(spark, sf_dir)
+    place = F.when(F.col("tag") == "same_owner", 1).when(F.col("tag") == "same_field_name", 2).otherwise(3)
+    return planning.training_pairs(c, mining.confusers(c).withColumn("place", place))
+
+
+def two_encoders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec = read(spark, sf_dir, "embeddings")
+    firsts = vec.groupBy("label").agg(F.min("vec_id").alias("target_id"))
+    targets = firsts.join(vec.select(F.col("vec_id").alias("target_id"), F.col("embedding").alias("target")), "target_id")
+    asked = vec.filter("vec_id % 10 = 0").join(targets, "label").filter("vec_id <> target_id")
+    return compare.rank_delta(asked, vec, {"base": (0, 32), "tuned": (0, 64)})
+
+
+def rank_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return two_encoders(spark, sf_dir)
+
+
+def base_and_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.base_and_tuned(two_encoders(spark, sf_dir))
+
+
+FIELD_NAMES, FIELD_TYPES = ("author", "status", "createdAt", "email", "tags", "priceCents", "lastError", "approvedBy", "weight"), ("String!", "[Item!]!", "DateTime", "User", "Int!", "ID", "Date!")
+
+
+def field_intents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pick = lambda own: F.element_at(F.array(*map(F.lit, own)), (F.col("doc_id") % len(own) + 1).cast("int"))
+    return coords(spark, sf_dir).select("doc_id", F.array_join(generation.intents(pick(FIELD_NAMES), pick(FIELD_TYPES)), ",").alias("intents"))
+
+
+def query_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = query_rows(spark, sf_dir).select("doc_id", F.concat(F.lit("Show the type of "), "query", F.lit(" number?")).alias("query"))
+    return generation.expand(q).select("doc_id", F.col("place").cast("long").alias("place"), "variant", "origin", "quality_score")
+
+
+TEMPLATES = {"lookup": ["what is {type}", "show {type} of {owner}"], "comparative": ["difference between {type} and {owner}"]}
+
+
+def template_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generation.from_templates(coords(spark, sf_dir).select("doc_id", "owner_type", "return_type"), TEMPLATES, {"type": "return_type", "owner": "owner_type"}).select("doc_id", "intent", "query")
+
+
+def valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = query_rows(spark, sf_dir).select("doc_id", "world", "query", F.element_at(F.array(*map(F.lit, ("easy", "medium", "hard", "odd"))), (F.col("doc_id") % 4 + 1).cast("int")).alias("difficulty"), F.element_at(F.array(*map(F.lit, ("lookup", "status", "other"))), (F.col("doc_id") % 3 + 1).cast("int")).alias("intent"))
+    id_ = lambda n: F.concat(F.lit("c"), ((F.col("doc_id") * n) % 100).cast("string"))
+    items = q.select("*", id_(1).alias("positive"), F.array(id_(3), id_(5)).alias("relevant"), F.array(id_(1), id_(7), id_(9)).alias("negative"))
+    known = q.filter("doc_id % 5 <> 0").select("world", F.concat(F.lit("c"), (F.col("doc_id") % 100).cast("string")).alias("coordinate")).distinct()
+    terms = q.filter("doc_id % 50 = 0").select("world", F.explode(F.slice(F.split("query", " "), 1, 3)).alias("term"))
+    got = generation.valid_items(items, terms, known)
+    return got.select("doc_id", "difficulty", "intent", F.array_join("relevant", ",").alias("relevant"), F.array_join("negative", ",").alias("negative"))
+
+
+QUERIES = {f.__name__: f for f in (retrieval_metrics, top_k_search, text_functions, coordinate_views, clear_queries, world_leakage, strict_leakage, ambiguous_names, sibling_counts, mined_confusers, tiered_negatives, margin_buckets, stratified_items, best_by_text, family_split, sanity_sample, slice_metrics, content_hash, stage_counts, best_epoch, curated_merge, bucket_vectors, competition_sets, batch_plan, training_pairs, rank_delta, base_and_tuned, field_intents, query_variants, template_queries, valid_items)}
 
 Q = r"""q AS (SELECT d.doc_id, array_to_string(list_slice(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\x0B]+'), lambda x: x <> ''), 1, 12), ' ') AS query, source AS world, lang AS intent, coalesce(quality::double, 0.5) AS quality
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -194,7 +254,8 @@ FROM h GROUP BY GROUPING SETS ((label), ())""",
     "top_k_search": f"WITH {SIM} SELECT query_id, doc_id, sim, rank FROM ranked WHERE rank <= 5",
     "text_functions": f"""WITH {Q} SELECT doc_id, {NORM} AS norm, len(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) AS n_words, array_to_string(list_transform(regexp_extract_all(lower(query), '[a-z0-9]+'), lambda t: {_stem("t")}), ' ') AS stems FROM q""",
     "coordinate_views": f"""WITH {C} SELECT doc_id, coordinate, coordinate || ': ' || return_type AS signature, 'type ' || owner_type || ' {{' || chr(10) || '  ' || field_name || ': ' || return_type || chr(10) || '}}' AS sdl,
-field_name || ' of ' || owner_type || ', a ' || return_type || '. Undescribed. Also: ' || array_to_string(list_sort(list_distinct(string_split(field_name, ' '))), ', ') AS semantic, array_to_string(list_sort(list_distinct([lower(owner_type), lower(field_name), lower(return_type)])), ' | ') AS keywords FROM c""",
+'GraphQL field ' || coordinate || '. Owner type: ' || owner_type || '. Returns: ' || return_type || '. Arguments: names none; types none. Field description: No description provided. Owner description: No description provided. Aliases: ' || array_to_string(list_sort(list_distinct([replace(field_name, '_', ' '), lower(field_name)])), ', ') || '.' AS semantic,
+array_to_string(list_sort(list_distinct([lower(coordinate), lower(owner_type), lower(field_name), lower(return_type)])), ' | ') AS keywords FROM c""",
     "clear_queries": f"WITH {Q} SELECT doc_id, quality FROM q WHERE quality >= 0.25 AND {CLEAR}",
     "world_leakage": f"""WITH {Q}, terms AS (SELECT DISTINCT world, lower(t) AS term FROM (SELECT world, unnest(list_slice(string_split(query, ' '), 1, 3)) AS t FROM q WHERE doc_id % 50 = 0) WHERE length(t) >= 4 AND lower(t) NOT IN {filters.TRIVIAL}),
 l AS (SELECT doc_id, world, CASE WHEN EXISTS (SELECT 1 FROM terms WHERE terms.world = q.world AND contains(lower(query), term)) THEN 1 ELSE 0 END AS leaked FROM q)
@@ -202,7 +263,7 @@ SELECT world, count(*) AS n, sum(leaked)::bigint AS n_leaked FROM l GROUP BY wor
     "strict_leakage": f"""WITH {C}, s AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'show the ' || field_name || 's for me' ELSE 'what about ' || lower(return_type) END AS query,
 list_concat(string_split(lower(owner_type), '.'), string_split(lower(field_name), ' ')) AS names FROM c)
 SELECT doc_id, query FROM s WHERE NOT list_has_any(list_transform(list_filter(regexp_extract_all(lower(query), '[a-z0-9]+'), lambda x: length(x) >= 3), lambda t: {_stem("t")}), list_transform(list_filter(names, lambda x: length(x) >= 3 AND x NOT IN {filters.TRIVIAL}), lambda t: {_stem("t")}))""",
-    "ambiguous_names": f"WITH {C} SELECT lower(field_name) AS field_name, count(DISTINCT owner_type) AS owners FROM c WHERE lower(field_name) NOT IN ('id', 'name', 'type', 'node', 'edges', 'cursor', 'nodes') GROUP BY 1 HAVING count(DISTINCT owner_type) >= 2",
+    "ambiguous_names": f"WITH {C} SELECT lower(field_name) AS field_name, count(DISTINCT owner_type) AS owners FROM c WHERE lower(field_name) NOT IN ('id', 'createdat', 'updatedat', 'deletedat', 'publishedat', 'version', 'type') GROUP BY 1 HAVING count(DISTINCT owner_type) >= 2",
     "sibling_counts": f"""WITH {C}, d AS (SELECT DISTINCT world_id, owner_type, field_name, return_type FROM c)
 SELECT world_id, owner_type, field_name, return_type, (SELECT count(DISTINCT field_name) FROM d x WHERE x.world_id = d.world_id AND x.owner_type = d.owner_type AND x.field_name <> d.field_name) AS same_owner,
 (SELECT count(DISTINCT owner_type) FROM d x WHERE x.world_id = d.world_id AND x.field_name = d.field_name AND x.owner_type <> d.owner_type) AS same_name,
@@ -227,3 +288,42 @@ SELECT world, CASE WHEN nth <= trunc(n * 0.8::double) THEN 'train' WHEN nth <= t
     "curated_merge": f"WITH {Q}, w AS (SELECT DISTINCT lower(string_split(query, ' ')[1]) AS w FROM q WHERE query <> '') SELECT item_id, CASE WHEN lower(string_split(text, ' ')[1]) IN (SELECT w FROM w) THEN 'kept' ELSE 'rejected' END AS state FROM benchmark",
     "bucket_vectors": f"WITH {Q}, t AS (SELECT doc_id, unnest(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) AS t FROM q), b AS (SELECT doc_id, ('0x' || substr(md5(t), 1, 8))::bigint % 512 AS b, count(*) AS c FROM t GROUP BY 1, 2) SELECT doc_id, count(*) AS entries, sum(c * c)::bigint AS norm2, sum(b * c)::bigint AS checksum FROM b GROUP BY doc_id",
 }
+
+ORACLES["competition_sets"] = f"""WITH {C}, n AS (SELECT *, lower(field_name) AS name FROM c), s AS (SELECT name FROM n WHERE name NOT IN {filters.GENERIC} GROUP BY name HAVING count(DISTINCT owner_type) >= 2),
+d AS (SELECT n.* FROM n JOIN s USING (name)), p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY world_id, name ORDER BY md5('3|' || doc_id), doc_id) AS nth FROM d) WHERE nth <= 6)
+SELECT d.doc_id, p.doc_id AS rival FROM d JOIN p ON d.world_id = p.world_id AND d.name = p.name AND d.coordinate <> p.coordinate"""
+ORACLES["batch_plan"] = f"""WITH {C}, t AS (SELECT world_id, doc_id, 1 + doc_id % 4 AS want, md5('5|' || doc_id) AS k FROM c),
+b AS (SELECT *, coalesce(sum(want) OVER (PARTITION BY world_id ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY world_id ORDER BY k, doc_id) - 1 AS batch_no FROM t)
+SELECT world_id, batch_no, doc_id, least(want, 40 - before)::bigint AS requested FROM b WHERE before < 40"""
+ORACLES["training_pairs"] = f"""WITH conf AS ({ORACLES["mined_confusers"]}), {C}, f AS (SELECT world_id, doc_id AS negative, row_number() OVER (PARTITION BY world_id ORDER BY md5('9|' || doc_id), doc_id) AS nth FROM c),
+e AS (SELECT doc_id, negative, CASE tag WHEN 'same_owner' THEN 1 WHEN 'same_field_name' THEN 2 ELSE 3 END AS place FROM conf UNION ALL SELECT c.doc_id, f.negative, 100 + f.nth FROM c JOIN f ON c.world_id = f.world_id AND f.nth <= 16 AND f.negative <> c.doc_id),
+m AS (SELECT doc_id, negative, min(place) AS place FROM e GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS nth FROM m)
+SELECT doc_id, max(CASE WHEN nth = 1 THEN negative END) AS negative_1, max(CASE WHEN nth = 2 THEN negative END) AS negative_2, max(CASE WHEN nth = 3 THEN negative END) AS negative_3 FROM r GROUP BY doc_id HAVING count(*) >= 3"""
+RANKS = """t AS (SELECT label, min(vec_id) AS target_id FROM embeddings GROUP BY label), a AS (SELECT q.vec_id, q.embedding::double[] AS e, x.embedding::double[] AS g FROM embeddings q JOIN t USING (label) JOIN embeddings x ON x.vec_id = t.target_id WHERE q.vec_id % 10 = 0 AND q.vec_id <> t.target_id),
+s AS (SELECT a.vec_id AS query_id, round(list_dot_product(e[1:32], d.embedding[1:32]::double[]), 6) > round(list_dot_product(e[1:32], g[1:32]), 6) AS b, round(list_dot_product(e, d.embedding::double[]), 6) > round(list_dot_product(e, g), 6) AS u FROM a JOIN embeddings d ON d.vec_id <> a.vec_id),
+r AS (SELECT query_id, count(*) FILTER (b) + 1 AS base_rank, count(*) FILTER (u) + 1 AS tuned_rank FROM s GROUP BY query_id)"""
+ORACLES["rank_delta"] = f"WITH {RANKS} SELECT *, base_rank - tuned_rank AS delta FROM r"
+
+
+def _mean(f: str) -> str:
+    one = lambda c: f"round(coalesce(avg({f.format(c)}), 0), 6)"
+    return f"SELECT {one('base_rank')} AS base, {one('tuned_rank')} AS tuned FROM r"
+
+
+ORACLES["base_and_tuned"] = f"WITH {RANKS}, m AS (" + " UNION ALL ".join(f"SELECT '{name}' AS metric, * FROM ({_mean(f)})" for name, f in (("exact_match_at_1", "({0} <= 1)::int::double"), ("recall_at_5", "({0} <= 5)::int::double"), ("mrr_at_10", "CASE WHEN {0} <= 10 THEN 1.0::double / {0} ELSE 0 END"), ("ndcg_at_10", "CASE WHEN {0} <= 10 THEN 1.0::double / log2({0} + 1.0::double) ELSE 0 END"))) + ") SELECT *, round(tuned - base, 6) AS delta FROM m"
+ORACLES["field_intents"] = f"""WITH {C}, f AS (SELECT doc_id, {list(FIELD_NAMES)}[doc_id % {len(FIELD_NAMES)} + 1] AS n, {list(FIELD_TYPES)}[doc_id % {len(FIELD_TYPES)} + 1] AS t FROM c), k AS (SELECT *, translate(t, '![]', '') AS kind FROM f)
+SELECT doc_id, CASE WHEN n = 'createdAt' OR kind IN ('DateTime', 'Date') THEN 'temporal' ELSE coalesce(nullif(concat_ws(',', CASE n WHEN 'author' THEN 'authorship' WHEN 'approvedBy' THEN 'authorship' WHEN 'status' THEN 'status' WHEN 'lastError' THEN 'troubleshooting' WHEN 'priceCents' THEN 'comparison' WHEN 'tags' THEN 'filtering' WHEN 'email' THEN 'lookup' END,
+CASE WHEN contains(t, '[') THEN 'list_vs_single' END, CASE WHEN kind IN ('Item', 'User') THEN 'root_vs_nested' END), ''), 'lookup') END AS intents FROM k"""
+_REWRITES = ", ".join(["s", *(rf"regexp_replace(s, '\b{a}\b', '{b}', 'gi')" for a, b in generation.SWAPS.items()), *(f"replace(s, '{a}', '{b}')" for a, b in generation.PHRASES.items())])
+ORACLES["query_variants"] = f"""WITH {Q}, s AS (SELECT doc_id, trim('Show the type of ' || query || ' number?') AS s FROM q), w AS (SELECT doc_id, s, unnest([{_REWRITES}]) AS w FROM s),
+v AS (SELECT DISTINCT doc_id, s, trim(unnest([trim(w), lower(trim(w)), replace(trim(w), '?', ''), replace(trim(w), '  ', ' '), replace(trim(w), 'type', 'typ')])) AS v FROM w),
+n AS (SELECT doc_id, v, row_number() OVER (PARTITION BY doc_id ORDER BY v <> s, v) - 1 AS place FROM v WHERE v <> '')
+SELECT doc_id, place, v AS variant, CASE WHEN place = 0 THEN 'bootstrap' ELSE 'deterministic-augment' END AS origin, CASE WHEN place = 0 THEN 0.85::double ELSE 0.65::double END AS quality_score FROM n WHERE place <= 6"""
+ORACLES["template_queries"] = f"WITH {C} SELECT doc_id, 'lookup' AS intent, 'what is ' || return_type AS query FROM c UNION ALL SELECT doc_id, 'lookup', 'show ' || return_type || ' of ' || owner_type FROM c UNION ALL SELECT doc_id, 'comparative', 'difference between ' || return_type || ' and ' || owner_type FROM c"
+ORACLES["valid_items"] = f"""WITH {Q}, i AS (SELECT doc_id, world, query, ['easy', 'medium', 'hard', 'odd'][doc_id % 4 + 1] AS difficulty, ['lookup', 'status', 'other'][doc_id % 3 + 1] AS intent, 'c' || doc_id % 100 AS positive FROM q),
+k AS (SELECT world, list(DISTINCT 'c' || doc_id % 100) AS known FROM q WHERE doc_id % 5 <> 0 GROUP BY world),
+t AS (SELECT DISTINCT world, lower(w) AS term FROM (SELECT world, unnest(list_slice(string_split(query, ' '), 1, 3)) AS w FROM q WHERE doc_id % 50 = 0) WHERE contains(w, '.') AND length(w) >= 5 OR length(w) >= 4 AND lower(w) NOT IN {filters.EVERYDAY}),
+g AS (SELECT i.*, known, list_filter(['c' || doc_id * 3 % 100, 'c' || doc_id * 5 % 100], lambda x: list_contains(known, x)) AS rel, list_filter(['c' || doc_id % 100, 'c' || doc_id * 7 % 100, 'c' || doc_id * 9 % 100], lambda x: list_contains(known, x) AND x <> positive) AS neg FROM i JOIN k ON i.world = k.world)
+SELECT doc_id, difficulty, intent, CASE WHEN len(rel) > 0 THEN array_to_string(rel, ',') ELSE positive END AS relevant, coalesce(array_to_string(neg, ','), '') AS negative FROM g
+WHERE difficulty <> 'odd' AND intent <> 'other' AND len(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) >= 3 AND NOT list_bool_or(list_transform({list(generation.SCHEMA_TALK)}, lambda w: contains(lower(query), w))) AND list_contains(known, positive)
+AND NOT EXISTS (SELECT 1 FROM t WHERE t.world = g.world AND contains(lower(query), term))"""

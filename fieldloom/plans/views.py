@@ -28,18 +28,32 @@ def coordinate(owner: Column, field: Column) -> Column:
     return F.btrim(F.concat_ws(".", owner, field), F.lit("."))
 
 
+def arguments(args: Column | None) -> Column:
+    return F.lit("") if args is None else F.array_join(F.transform(args, lambda a: F.concat(a["name"], F.lit(": "), a["type_name"])), ", ")
+
+
+def _bracketed(args: Column | None) -> Column:
+    return F.lit("") if args is None else F.when(F.size(args) > 0, F.concat(F.lit("("), arguments(args), F.lit(")"))).otherwise("")
+
+
 def signature(owner: Column, field: Column, returns: Column, args: Column | None = None) -> Column:
-    said = F.lit("") if args is None else F.when(F.size(args) > 0, F.concat(F.lit("("), F.array_join(F.transform(args, lambda a: F.concat(a["name"], F.lit(": "), a["type_name"])), ", "), F.lit(")"))).otherwise("")
-    return F.concat(coordinate(owner, field), said, F.lit(": "), returns)
+    return F.concat(owner, F.lit("."), field, _bracketed(args), F.lit(": "), returns)
+
+
+def sdl(owner: Column, field: Column, returns: Column, args: Column | None = None) -> Column:
+    return F.concat(F.lit("type "), owner, F.lit(" {\n  "), field, _bracketed(args), F.lit(": "), returns, F.lit("\n}"))
 
 
-def sdl(owner: Column, field: Column, returns: Column) -> Column:
-    return F.concat(F.lit("type "), owner, F.lit(" {\n  "), field, F.lit(": "), returns, F.lit("\n}"))
+# fixed values: the wording of the semantic view
+SEMANTIC = "GraphQL field %s.%s. Owner type: %s. Returns: %s. Arguments: names %s; types %s. Field description: %s Owner description: %s Aliases: %s."
+NONE, UNDESCRIBED = "none", "No description provided."
 
 
-def semantic(owner: Column, field: Column, returns: Column, description: Column, aliases: Column) -> Column:
-    known = F.array_join(F.array_sort(F.array_distinct(aliases)), ", ")
-    return F.concat(field, F.lit(" of "), owner, F.lit(", a "), returns, F.lit(". "), or_else(F.trim(description), F.lit("Undescribed.")), F.lit(" Also: "), or_else(known, F.lit("-")))
+def semantic(owner: Column, field: Column, returns: Column, description: Column, owner_description: Column, args: Column | None = None) -> Column:
+    part = lambda key: F.lit(NONE) if args is None else or_else(F.array_join(F.transform(args, lambda a: a[key]), ", "), F.lit(NONE))
+    said = lambda c: or_else(F.trim(c), F.lit(UNDESCRIBED))
+    known = F.array_sort(F.array_distinct(F.filter(F.array(F.replace(field, F.lit("_"), F.lit(" ")), F.lower(field)), lambda x: x != "")))
+    return F.format_string(SEMANTIC, owner, field, owner, returns, part("name"), part("type_name"), said(description), said(owner_description), F.array_join(known, ", "))
 
 
 def keywords(*parts: Column) -> Column:
