@@ -20,8 +20,8 @@ def coords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first twelve words of each document as a query of its source."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(F.filter(F.split("text", r"[ \t\n\r\f\x0B]+"), lambda x: x != ""), 1, 12), " ").alias("query"), F.col("source").alias("world"), F.col("lang").alias("intent"))
+    """All words of each document, a space apart, as a query of its source."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.array_join(F.filter(F.split("text", r"[ \t\n\r\f\x0B]+"), lambda x: x != ""), " ").alias("query"), F.col("source").alias("world"), F.col("lang").alias("intent"))
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
     return docs.join(labels, "doc_id", "left").withColumn("quality", F.coalesce("quality", F.lit(0.5)))
 
@@ -131,8 +131,11 @@ def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts after the filters of quality and clarity and, of what they leave, one row a text."""
     q = query_rows(spark, sf_dir)
-    return tables.stage_counts(q, "intent", [("quality_ok", F.col("quality") >= 0.25), ("clear", filters.is_clear(F.col("query"), F.col("world"))), ("even", F.col("doc_id") % 2 == 0)])
+    good, clear = F.col("quality") >= 0.25, filters.is_clear(F.col("query"), F.col("world"))
+    best = tables.best_by_text(q.filter(good & clear), "query", "quality", "doc_id").select("doc_id", F.lit(True).alias("first"))
+    return tables.stage_counts(q.join(best, "doc_id", "left"), "intent", [("quality_ok", good), ("clear", clear), ("deduped", F.coalesce("first", F.lit(False)))])
 
 
 def best_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
