@@ -25,14 +25,12 @@ def confusers(coords: DataFrame, seed: str = "7") -> DataFrame:
     """(doc_id, tag, negative): for each tag one other coordinate of the same world, in hashed order.
 
     Tags: same owner, same field name with another owner, same return type. The
-    pick is the least md5 of seed, target and candidate. Candidates of a hot key
-    are reduced by rank before the join: each group's ``pool`` least by their own
-    hash, at most 64, so groups never pair all with all.
+    pick is the least md5 of seed, target and candidate over the whole group, so
+    each member is paired with every other; a world's schema bounds its groups.
     """
     out = None
     for tag, key in (("same_owner", "owner_type"), ("same_field_name", "field_name"), ("same_return_type", "return_type")):
-        own = Window.partitionBy("world_id", key).orderBy(choice_key(seed, F.lit(tag), F.col("doc_id")), "doc_id")
-        pool = coords.withColumn("nth", F.row_number().over(own)).filter("nth <= 64").select("world_id", key, F.col("doc_id").alias("negative"), F.col("coordinate").alias("other"), F.col("owner_type").alias("its_owner") if key != "owner_type" else F.lit(None).alias("its_owner"))
+        pool = coords.select("world_id", key, F.col("doc_id").alias("negative"), F.col("coordinate").alias("other"), F.col("owner_type").alias("its_owner") if key != "owner_type" else F.lit(None).alias("its_owner"))
         pairs = coords.join(pool, ["world_id", key]).filter(F.col("coordinate") != F.col("other"))
         if tag == "same_field_name":
             pairs = pairs.filter(F.col("its_owner") != F.col("owner_type"))
