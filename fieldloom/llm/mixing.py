@@ -139,11 +139,11 @@ def _totals(own: DataFrame, steps: list[list[float]], momentum: float, k: int) -
 
 
 def fit_rates(own: DataFrame, targets: list[float], most: int = STEPS, close: float = CLOSE) -> tuple[list[list[float]], float]:
-    """Steps of accelerated projected gradient, and the residual share they leave."""
+    """Steps of accelerated projected gradient, and the residual share that the rates after them leave."""
     k = len(targets)
     steps: list[list[float]] = []
     goal = None
-    t, momentum, left = 1.0, 0.0, math.inf
+    t, momentum = 1.0, 0.0
     for _ in range(most):
         got = _totals(own, steps, momentum, k)
         a, gram = got[:k], got[k:].reshape(k, k)
@@ -152,13 +152,14 @@ def fit_rates(own: DataFrame, targets: list[float], most: int = STEPS, close: fl
             if total <= 0:
                 return [], 0.0
             goal, top = np.array(targets) / sum(targets) * total, np.linalg.eigvalsh(gram)[-1]
-        left = float(np.abs(a - goal).sum() / goal.sum())
-        if left < close:
+        if np.abs(a - goal).sum() / goal.sum() < close:
             break
         steps.append([*((a - goal) / top).tolist(), momentum])
         after = (1 + math.sqrt(1 + 4 * t * t)) / 2
         t, momentum = after, (t - 1) / after
-    return steps, left
+    # the look-ahead of a step isn't where the rates are
+    a = _totals(own, steps, 0.0, k)[:k]
+    return steps, float(np.abs(a - goal).sum() / goal.sum())
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None = None, column: str = "quality") -> DataFrame:
@@ -167,13 +168,15 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None = N
     ``copies`` is the rate rounded up or down by a hash of the id, so its mean
     is the rate. Null and empty texts have no tokens and a rate as others of
     their posterior. Targets out of the posteriors' reach are met as nearly as
-    least squares can. Repeated rows count each; other columns are not read.
+    least squares can; the share of tokens by which the rates miss them is the
+    ``residual`` in the metadata of ``rate``. Repeated rows count each; other
+    columns are not read.
     """
     targets = targets or TARGETS
     domains = sorted(targets)
-    model = fit(labelled_sample(docs, labels, column), domains)
+    model = fit(labelled_sample(docs, labels, column, values=domains), domains)
     own = materialize(memberships(docs, model), "memberships")
-    steps, _ = fit_rates(own, [targets[d] for d in domains])
+    steps, left = fit_rates(own, [targets[d] for d in domains])
     k = len(domains)
 
     def make():
@@ -186,6 +189,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None = N
     kind = dict(own.dtypes)["doc_id"]
     out = own.mapInArrow(per_batch(make), f"doc_id {kind}, n_tokens long, posterior array<double>, rate double")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    out = out.withMetadata("rate", {"residual": left})
     return out.withColumn("copies", F.floor(F.col("rate") + part).cast("int"))
 
 

@@ -11,6 +11,7 @@ without punctuation stay a set of instances.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -131,30 +132,31 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS, classes: int = 2) -> list[tuple[str, int, float]]:
-    """(text, label, weight) of at most ``per_class`` labelled documents of each class outside the held-out fifth.
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS, values: Sequence[int] = (0, 1)) -> list[tuple[str, int, float]]:
+    """(text, label, weight) of at most ``per_class`` labelled documents of each of the values outside the held-out fifth.
 
     Documents are taken in the order of a hash of their id; the weight of a
-    class makes up for what the bound leaves out. A label given several times
-    counts once, by its mean; documents over ``most_chars`` aren't taken.
+    class makes up for what the bound leaves out. Of labels given several times
+    the most frequent counts, of equally frequent ones the largest; one that
+    isn't among the values teaches nothing. Documents over ``most_chars`` aren't
+    taken.
     """
-    own = labels.filter(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.round(F.avg(column)).cast("int").alias("label"))
-    counts = {r["label"]: r["count"] for r in own.groupBy("label").count().orderBy("label").limit(classes).collect()}
-    out = []
+    votes = labels.filter(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id", F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    own = votes.groupBy("doc_id").agg(F.max_by("label", F.struct("n", "label")).alias("label")).filter(F.col("label").isin(*values)).withColumn("label", F.col("label").cast("int"))
+    counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}  # a row a value
     ids = None
-    for label in counts:
+    for label in sorted(counts):
         part = own.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     if ids is None:
         return []
-    # at most classes * per_class ids
+    # at most so many ids as values * per_class
     found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.char_length(F.coalesce("text", F.lit(""))) <= most_chars)
-    rows = found.orderBy("doc_id").limit(classes * per_class).collect()
+    rows = found.orderBy("doc_id").limit(len(counts) * per_class).collect()
     got: dict[int, int] = {}
     for r in rows:
         got[r["label"]] = got.get(r["label"], 0) + 1
-    out = [(r["text"] or "", r["label"], counts[r["label"]] / got[r["label"]]) for r in rows]
-    return out
+    return [(r["text"] or "", r["label"], counts[r["label"]] / got[r["label"]]) for r in rows]
 
 
 def score_documents(docs: DataFrame, model: Model, sentence_at: float = 0.5) -> DataFrame:
