@@ -45,15 +45,24 @@ def is_clear(query: Column, positive: Column, word_boundary: bool = False) -> Co
 def world_leakage(queries: DataFrame, terms: DataFrame, threshold: float = 0.2) -> DataFrame:
     """Queries of the worlds in which at most ``threshold`` of the queries hold one of their world's terms.
 
-    terms: (world, term). A null world is "unknown". Terms of a world are
-    gathered as one array, which is bounded by the world's schema.
+    terms: (world, term). A null or empty world is "unknown". Terms of a world
+    are gathered as one array, which is bounded by the world's schema. A world
+    without a row in terms is held against the terms of all worlds, in blocks of
+    about a thousand, once for each distinct text.
     """
-    of = terms.filter((F.length("term") >= 4) & ~F.lower("term").isin(*TRIVIAL)).groupBy("world").agg(F.collect_set(F.lower("term")).alias("terms"))
-    df = queries.withColumn("world", F.coalesce("world", F.lit("unknown"))).join(of, "world", "left")
+    told = F.lower("term")
+    meant = (F.length("term") >= 4) & ~told.isin(*TRIVIAL)
+    of = terms.groupBy(F.coalesce("world", F.lit("unknown")).alias("world")).agg(F.collect_set(F.when(meant, told)).alias("terms"))
+    df = queries.withColumn("world", F.coalesce(F.nullif(F.col("world"), F.lit("")), F.lit("unknown"))).join(of, "world", "left")
     q = F.lower("query")
-    leaked = F.coalesce(F.exists("terms", lambda t: q.contains(t)), F.lit(False)).cast("int")
+    every = terms.filter(meant).select(told.alias("term")).distinct()
+    blocks = every.groupBy(F.pmod(F.xxhash64("term"), F.lit(every.count() // 1000 + 1)).alias("b")).agg(F.collect_list("term").alias("block"))
+    others = df.filter("terms is null").select(q.alias("_q")).distinct().crossJoin(blocks.select("block"))
+    caught = others.filter(F.exists("block", lambda t: F.col("_q").contains(t))).select("_q").distinct().withColumn("_caught", F.lit(True))
+    df = df.withColumn("_q", F.when(F.col("terms").isNull(), q)).join(caught, "_q", "left")
+    leaked = F.coalesce(F.exists("terms", lambda t: q.contains(t)), F.col("_caught"), F.lit(False)).cast("int")
     share = F.avg("leaked").over(Window.partitionBy("world"))
-    return df.withColumn("leaked", leaked).withColumn("share", share).filter(F.col("share") <= threshold).drop("terms", "share")
+    return df.withColumn("leaked", leaked).withColumn("share", share).filter(F.col("share") <= threshold).select(*queries.columns, "leaked")
 
 
 def stems(tokens: Column) -> Column:
