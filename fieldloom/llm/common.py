@@ -65,8 +65,8 @@ HOT_SHARE = 1024
 BUCKETS = 1 << 20
 
 
-def attach(rows: DataFrame, classes: DataFrame, keys: list[str], size: str = "group_size", n: int | None = None) -> DataFrame:
-    """rows left-joined with classes (one row a key), without a hot key in one task.
+def attach(rows: DataFrame, classes: DataFrame, keys: list[str], size: str = "group_size", n: int | None = None, how: str = "left") -> DataFrame:
+    """rows joined with classes (one row a key), left or inner, without a hot key in one task.
 
     The rows of classes that hold over 1/HOT_SHARE of all rows meet their class
     by broadcast, of under HOT_SHARE rows; the others by a shuffled join, where
@@ -75,7 +75,7 @@ def attach(rows: DataFrame, classes: DataFrame, keys: list[str], size: str = "gr
     n = rows.count() if n is None else n
     hot = F.broadcast(classes.filter(F.col(size) * HOT_SHARE > n))
     rest = classes.filter(F.col(size) * HOT_SHARE <= n)
-    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys, "left"))
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys, how))
 
 
 def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -1,18 +1,27 @@
 """Repeated passages: every byte under a ``size``-byte string that also starts elsewhere.
 
-Sorting all suffixes isn't needed for strings of one length: prefix polynomial
-hashes give the hash of any string, and suffixes are compared by those.
+A suffix sort of the places that matter, compared by prefix polynomial hashes.
 
 1. Anchors. In each window of ``size`` bytes the least hash of its ``gram``-byte
    strings is the window's anchor; equal windows have equal anchors at the same
-   place. Consecutive windows share anchors, about one in a hundred bytes.
-2. An anchor string that occurs once has no repeated window. One whose whole
-   stretch of windows (all bytes they cover) equals another stretch has only
-   repeated windows. A 128-bit hash of another kind verifies the stretch.
-3. What is left are the ends of repeats, where some windows of a stretch repeat
-   and some don't: there each window is compared by its own 128-bit hash.
-
-All groups are counted with partial aggregation; no group is gathered.
+   place. Consecutive windows share anchors (a stretch), about one in a hundred
+   bytes. An anchor that occurs once has no repeated window; stretches whose
+   bytes equal another's (128-bit hash of another kind) repeat whole.
+2. Suffix sort. Of the other stretches the suffixes that start at the anchor are
+   sorted, forwards and backwards, by a mergesort whose comparisons find the
+   common extension by binary search over prefix hashes. Every neighbour's
+   extension and order is then verified byte by byte; a group with a hash
+   collision is sorted by its bytes instead.
+3. A window that starts d bytes before its anchor repeats if another suffix has
+   d bytes in common backwards and ``size - d`` forwards: for each d both sorted
+   orders fall into classes at the neighbours whose extension is shorter, and
+   windows in one pair of classes are equal.
+
+An anchor with more than ``most`` different stretches is cut by d into parts.
+All windows of a part hold the same core bytes, whose hash is the part's key, so
+parts meet only where they can be equal; parts still crowded are cut again, down
+to single windows. No group above ``most`` comes to one task, and counts use
+partial aggregation.
 """
 
 from __future__ import annotations
@@ -24,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import BUCKETS, materialize, per_batch, text_or_empty
+from fieldloom.llm.common import BUCKETS, attach, materialize, per_batch, text_or_empty
 
-SIZE, GRAM, CHUNK, SEED = 400, 200, 1 << 22, 77
+SIZE, GRAM, CHUNK, MOST, FAN, SEED = 400, 200, 1 << 22, 4096, 8, 77
 ROW = ["did", "h"]
 PLACE = np.uint64((1 << 24) - 1)
+PIECE = "key long, did long, h long, lo int, hi int, at int, single boolean, crowded boolean, slice binary"
+PART = "key long, f1 long, f2 long, did long, h long, lo int, hi int, at int, single boolean, slice binary"
 
 
 class Prefix:
@@ -49,24 +60,29 @@ class Prefix:
                 p[0] = 1
                 setattr(self, name, np.multiply.accumulate(p))
 
-    def strings(self, data: np.ndarray, length: int) -> np.ndarray:
-        """A mixed hash of the string of ``length`` at each place."""
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of all prefixes."""
         n = len(data)
-        self._powers(n)
+        self._powers(n + 1)
         s = np.zeros(n + 1, np.uint64)
         np.cumsum(self.code[data] * self.up[:n], out=s[1:])
-        h = (s[length:] - s[:-length]) * self.down[: n - length + 1]
+        return s
+
+    def strings(self, data: np.ndarray, length: int) -> np.ndarray:
+        """A mixed hash of the string of ``length`` at each place."""
+        s = self.sums(data)
+        h = (s[length:] - s[:-length]) * self.down[: len(data) - length + 1]
         h ^= h >> np.uint64(31)
         h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         return h
 
 
-def stretches(data: np.ndarray, prefix: Prefix, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start of each stretch that shares an anchor, and the anchor's hash."""
+def stretches(data: np.ndarray, prefix: Prefix, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window start of each stretch that shares an anchor, the anchor's place and its hash."""
     n = len(data)
     if n < size:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     g = prefix.strings(data, gram)
     width, n_win = size - gram + 1, n - size + 1
     packed = (g & ~PLACE) | np.arange(len(g), dtype=np.uint64)
@@ -77,7 +93,7 @@ def stretches(data: np.ndarray, prefix: Prefix, size: int = SIZE, gram: int = GR
     right = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     owner = (np.minimum(right[:n_win], left[width - 1 : width - 1 + n_win]) & PLACE).astype(np.int64)
     first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
-    return first, np.append(first[1:], n_win) - 1, g[owner[first]]
+    return first, np.append(first[1:], n_win) - 1, owner[first], g[owner[first]]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -86,7 +102,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def anchors(keyed: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """(did, h, lo, hi, g, f1, f2) of every stretch; very long texts go in chunks, each window in one."""
+    """(did, h, lo, hi, at, key, f1, f2) of every stretch; very long texts go in chunks, each window in one."""
 
     def make():
         import xxhash
@@ -96,69 +112,252 @@ def anchors(keyed: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
         def one(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                which, los, his, gs, fs = [], [], [], [], []
+                which, found, fs = [], [[], [], [], []], []
                 for i, value in enumerate(part.column(2)):
                     raw = value.as_py().encode()
                     data = np.frombuffer(raw, np.uint8)
                     for c in range(0, max(1, len(raw) - size + 1), CHUNK):
-                        lo, hi, g = stretches(data[c : c + CHUNK + size - 1], prefix, size, gram)
-                        lo, hi = lo + c, hi + c
+                        lo, hi, place, g = stretches(data[c : c + CHUNK + size - 1], prefix, size, gram)
+                        lo, hi, place = lo + c, hi + c, place + c
                         which.append(np.full(len(lo), i))
-                        los.append(lo)
-                        his.append(hi)
-                        gs.append(g)
+                        for column, v in zip(found, (lo, hi, place, g), strict=True):
+                            column.append(v)
                         fs += [xxhash.xxh3_128_digest(raw[a : b + size]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
                 if not fs:
                     continue
                 f = np.frombuffer(b"".join(fs), np.int64).reshape(-1, 2)
                 take = pa.array(np.concatenate(which))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(los).astype(np.int32)), pa.array(np.concatenate(his).astype(np.int32)), pa.array(np.concatenate(gs).view(np.int64)), pa.array(f[:, 0]), pa.array(f[:, 1])], names=["did", "h", "lo", "hi", "g", "f1", "f2"])
+                places = [pa.array(np.concatenate(c).astype(np.int32)) for c in found[:3]]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *places, pa.array(np.concatenate(found[3]).view(np.int64)), pa.array(f[:, 0]), pa.array(f[:, 1])], names=["did", "h", "lo", "hi", "at", "key", "f1", "f2"])
 
         return one
 
-    return keyed.filter(F.octet_length("text") >= size).select("did", "h", "text").mapInArrow(per_batch(make), "did long, h long, lo int, hi int, g long, f1 long, f2 long")
+    return keyed.filter(F.octet_length("text") >= size).select("did", "h", "text").mapInArrow(per_batch(make), "did long, h long, lo int, hi int, at int, key long, f1 long, f2 long")
 
 
-def _windows(held: DataFrame, size: int) -> DataFrame:
-    """(did, h, start, k1, k2): the hash of each window of the stretches that are left open."""
+def _settle(rows: DataFrame, most: int, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Of rows (key, f1, f2, did, h, lo, hi, at, single, *more): those whose bytes recur, and one of each kind of the rest.
+
+    The first is (did, h, lo, hi); the second has a row for each distinct (f1, f2)
+    of the keys with several, ``single`` where no other row has its bytes, and
+    ``crowded`` where its key has over ``most`` kinds.
+    """
+    f = F.struct("f1", "f2")
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(f).alias("f0"), F.max(f).alias("f9")).filter("n > 1").select("key", "n", (F.col("f0") == F.col("f9")).alias("alike"))
+    again = materialize(attach(rows, materialize(keys, "repeated-keys"), ["key"], "n", how="inner").drop("n"), "repeated-rows")
+    mixed = again.filter("not alike")
+    kinds = materialize(mixed.groupBy("key", "f1", "f2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ROW, "lo", "hi", "at", "single", *more)).alias("head")), "kinds")
+    same = attach(mixed.select(*ROW, "lo", "hi", "key", "f1", "f2"), kinds.filter("n > 1").select("key", "f1", "f2", "n"), ["key", "f1", "f2"], "n", how="inner")
+    whole = again.filter("alike").select(*ROW, "lo", "hi").unionByName(same.select(*ROW, "lo", "hi"))
+    crowds = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+    rest = attach(kinds, crowds, ["key"], "kinds", how="inner").withColumn("alone", F.col("n") == 1)
+    return whole, rest.select("key", *(f"head.{c}" for c in (*ROW, "lo", "hi", "at")), (F.col("alone") & F.col("head.single")).alias("single"), (F.col("kinds") > most).alias("crowded"), *(f"head.{c}" for c in more))
 
-    def make():
-        import xxhash
 
+def _slices(held: DataFrame, size: int) -> DataFrame:
+    """The bytes of the stretches left open, from the texts: PIECE."""
+
+    def make():
         def one(batch: pa.RecordBatch):
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                which, starts, keys = [], [], []
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                which, rows, cut = [], [], []
                 for i, (value, open_) in enumerate(zip(part.column(2), part.column(3).to_pylist(), strict=True)):
                     raw = value.as_py().encode()
-                    for s in sorted({s for x in open_ for s in range(x["lo"], x["hi"] + 1)}):
+                    for x in open_:
                         which.append(i)
-                        starts.append(s)
-                        keys.append(xxhash.xxh3_128_digest(raw[s : s + size]))
-                if keys:
-                    k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+                        rows.append(x)
+                        cut.append(raw[x["lo"] : x["hi"] + size])
+                if rows:
                     take = pa.array(which)
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(starts, pa.int32()), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["did", "h", "start", "k1", "k2"])
+                    of = lambda c, t: pa.array([x[c] for x in rows], t)
+                    yield pa.RecordBatch.from_arrays([of("key", pa.int64()), part.column(0).take(take), part.column(1).take(take), *(of(c, pa.int32()) for c in ("lo", "hi", "at")), *(of(c, pa.bool_()) for c in ("single", "crowded")), pa.array(cut, pa.binary())], names=["key", "did", "h", "lo", "hi", "at", "single", "crowded", "slice"])
 
         return one
 
-    return held.filter(F.size("open") > 0).select("did", "h", "text", "open").mapInArrow(per_batch(make), "did long, h long, start int, k1 long, k2 long")
+    return held.filter(F.size("open") > 0).select("did", "h", "text", "open").mapInArrow(per_batch(make), PIECE)
+
+
+def _split(crowd: DataFrame, part: int, size: int) -> DataFrame:
+    """Crowded pieces cut into parts of ``part`` window starts, keyed by the bytes that all windows of the part hold."""
+
+    def make():
+        import xxhash
+
+        def one(batch: pa.RecordBatch):
+            out: list[list] = [[] for _ in range(10)]
+            for x in batch.to_pylist():
+                at, lo, hi, raw = x["at"], x["lo"], x["hi"], x["slice"]
+                for k in range((at - hi) // part, (at - lo) // part + 1):
+                    d0, d1 = k * part, k * part + part - 1  # windows start d0 to d1 bytes before the anchor
+                    a, b = max(lo, at - d1), min(hi, at - d0)
+                    core = raw[max(0, at - d0 - lo) : at - d1 + size - lo]
+                    own = raw[a - lo : b + size - lo]
+                    f = np.frombuffer(xxhash.xxh3_128_digest(own), np.int64)
+                    key = xxhash.xxh3_64_intdigest(core, seed=(x["key"] + k * 0x9E3779B97F4A7C15) % (1 << 64)) - (1 << 63)
+                    for column, v in zip(out, (key, int(f[0]), int(f[1]), x["did"], x["h"], a, b, at, x["single"], own), strict=True):
+                        column.append(v)
+            types = [pa.int64()] * 5 + [pa.int32()] * 3 + [pa.bool_(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["key", "f1", "f2", "did", "h", "lo", "hi", "at", "single", "slice"])
+
+        return one
+
+    return crowd.select("key", *ROW, "lo", "hi", "at", "single", "slice").mapInArrow(per_batch(make), PART)
+
+
+def _by_bytes(data: np.ndarray, at: np.ndarray, limit: np.ndarray, members: np.ndarray) -> tuple[list[int], list[int]]:
+    """Order and neighbours' extensions of one group, without hashes."""
+    text = {int(i): data[at[i] : at[i] + limit[i]].tobytes() for i in members}
+    order = sorted(text, key=text.__getitem__)
+    ext = [-1]
+    for a, b in zip(order, order[1:], strict=False):
+        x, y = text[a], text[b]
+        n = min(len(x), len(y))
+        ext.append(next((k for k in range(n) if x[k] != y[k]), n))
+    return order, ext
+
+
+def sort_suffixes(prefix: Prefix, data: np.ndarray, at: np.ndarray, limit: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes data[at : at + limit] in each group, and each one's common extension with the one before it.
+
+    group is sorted; the first of a group has the extension -1. A bottom-up
+    mergesort places each suffix in the sibling run by binary search; two
+    suffixes are compared after their common extension, found by binary search
+    over prefix hashes. All groups and runs go through a step together.
+    """
+    m = len(at)
+    s = prefix.sums(data)
+    down = prefix.down
+    bits = int(limit.max(initial=1)).bit_length()
+
+    def extension(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        lo, hi = np.zeros(len(i), np.int64), np.minimum(limit[i], limit[j])
+        ai, aj = at[i], at[j]
+        si, sj, di, dj = s[ai], s[aj], down[ai], down[aj]
+        for _ in range(bits):
+            mid = (lo + hi + 1) >> 1
+            same = (s[ai + mid] - si) * di == (s[aj + mid] - sj) * dj
+            lo = np.where(same, mid, lo)
+            hi = np.where(same, hi, mid - 1)
+            hi = np.maximum(lo, hi)
+        return lo
+
+    def before(i: np.ndarray, j: np.ndarray, l: np.ndarray) -> np.ndarray:  # noqa: E741
+        """-1, 0, 1 as suffix i comes before, equals or follows j, of common extension l."""
+        end_i, end_j = l >= limit[i], l >= limit[j]
+        bi = data[np.minimum(at[i] + l, len(data) - 1)].astype(np.int64)
+        bj = data[np.minimum(at[j] + l, len(data) - 1)].astype(np.int64)
+        return np.where(end_i & end_j, 0, np.where(end_i, -1, np.where(end_j, 1, np.sign(bi - bj))))
+
+    first = np.flatnonzero(np.diff(group, prepend=group[0] - 1 if m else 0))
+    sizes = np.diff(np.append(first, m))
+    start, stop = np.repeat(first, sizes), np.repeat(first + sizes, sizes)
+    order = np.arange(m)
+    run = 1
+    while run < sizes.max(initial=0):
+        p = np.flatnonzero(stop - start > run)
+        rel = p - start[p]
+        k = rel // run
+        lo = np.minimum(start[p] + (k ^ 1) * run, stop[p])
+        hi = np.minimum(lo + run, stop[p])
+        base, left, x = lo.copy(), k % 2 == 0, order[p]
+        while (live := np.flatnonzero(lo < hi)).size:
+            mid = (lo[live] + hi[live]) >> 1
+            y = order[mid]
+            c = before(y, x[live], extension(y, x[live]))
+            goes = (c < 0) | ((c == 0) & ~left[live])
+            lo[live] = np.where(goes, mid + 1, lo[live])
+            hi[live] = np.where(goes, hi[live], mid)
+        order = order.copy()
+        order[start[p] + (k >> 1) * 2 * run + (rel - k * run) + (lo - base)] = x
+        run *= 2
+    ext = np.full(m, -1, np.int64)
+    inner = np.flatnonzero(np.arange(m) != start)
+    a, b = order[inner - 1], order[inner]
+    l = extension(a, b)  # noqa: E741
+    ext[inner] = l
+    # neighbours are verified by their bytes, and so is their order
+    reach = np.cumsum(l) - l
+    step = np.arange(int(l.sum())) - np.repeat(reach, l)
+    wrong = data[np.repeat(at[a], l) + step] != data[np.repeat(at[b], l) + step]
+    bad = before(a, b, l) > 0
+    if wrong.any():
+        bad[np.unique(np.repeat(np.arange(len(l)), l)[wrong])] = True
+    for g in np.unique(start[inner[bad]]):
+        own = np.arange(g, stop[g])
+        order[own], ext[own] = _by_bytes(data, at, limit, own)
+    return order, ext
+
+
+def repeated_starts(prefix: Prefix, data: np.ndarray, begin: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, group: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """(piece, first, last): runs of window starts of the pieces, each of bytes lo to hi + size at ``begin``, that repeat in their group."""
+    m = len(lo)
+    place, forth, back = begin + at - lo, hi + size - at, at - lo
+    orders = [sort_suffixes(prefix, data, place, forth, group), sort_suffixes(prefix, np.ascontiguousarray(data[::-1]), len(data) - place, back, group)]
+    least, most = at - hi, at - lo
+    hit = np.zeros((m, int(most.max()) + 2), bool)
+
+    def classes(which: int, need: int) -> np.ndarray:
+        order, ext = orders[which]
+        out = np.empty(m, np.int64)
+        out[order] = np.cumsum(ext < need)
+        return out
+
+    for d in range(int(least.min()), int(most.max()) + 1):
+        own = np.flatnonzero((least <= d) & (d <= most))
+        if len(own) > 1:
+            pair = (classes(0, size - d) * (m + 1) + classes(1, d))[own]
+            _, back_to, n = np.unique(pair, return_inverse=True, return_counts=True)
+            hit[own, d] = n[back_to] > 1
+    edge = np.diff(hit.astype(np.int8), axis=1, prepend=0)
+    rows, first = np.nonzero(edge == 1)
+    last = np.nonzero(edge == -1)[1] - 1
+    return list(zip(rows.tolist(), (at[rows] - last).tolist(), (at[rows] - first).tolist(), strict=True))
+
+
+def _sorted(pieces: DataFrame, size: int) -> DataFrame:
+    """(did, h, lo, hi): runs of repeated window starts of pieces that no other piece equals. Keys come whole to a task, at most ``most`` pieces each."""
+
+    def run(batches):
+        prefix, held = Prefix(), None
+
+        def solve(t: pa.RecordBatch) -> pa.RecordBatch | None:
+            ints = {c: t.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "lo", "hi", "at")}
+            n = ints["hi"] - ints["lo"] + size
+            data = np.frombuffer(b"".join(t.column("slice").to_pylist()), np.uint8)
+            got = repeated_starts(prefix, data, np.cumsum(n) - n, ints["lo"], ints["hi"], ints["at"], ints["key"], size)
+            single = t.column("single").to_pylist()
+            got = [x for x in got if single[x[0]]]
+            if not got:
+                return None
+            take = pa.array([x[0] for x in got])
+            return pa.RecordBatch.from_arrays([t.column("did").take(take), t.column("h").take(take), pa.array([x[1] for x in got], pa.int32()), pa.array([x[2] for x in got], pa.int32())], names=["did", "h", "lo", "hi"])
+
+        for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            key = batch.column("key").to_numpy(zero_copy_only=False)
+            at = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key waits for the next batch
+            held = batch.slice(at)
+            if at and (out := solve(batch.slice(0, at))) is not None:
+                yield out
+        if held is not None and held.num_rows and (out := solve(held)) is not None:
+            yield out
+
+    one = pieces.filter("not crowded").select("key", *ROW, "lo", "hi", "at", "single", "slice")
+    return one.repartition("key").sortWithinPartitions("key").mapInArrow(run, "did long, h long, lo int, hi int")
 
 
 def _cut(size: int):
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = [[], [], [], [], []]
-            for value, whole, starts in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            for value, whole, more in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 raw = value.as_py().encode()
                 edge = np.zeros(len(raw) + 1, np.int32)
-                for x in whole or []:
+                for x in (whole or []) + (more or []):
                     edge[x["lo"]] += 1
                     edge[x["hi"] + size] -= 1
-                if starts.is_valid:
-                    s = starts.values.to_numpy()
-                    np.add.at(edge, s, 1)
-                    np.add.at(edge, s + size, -1)
                 gone = np.cumsum(edge)[:-1] > 0
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 for c, v in zip(out, (len(raw), int(gone.sum()), int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")), strict=True):
@@ -170,31 +369,35 @@ def _cut(size: int):
     return per_batch(make)
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text of every row.
 
     Null text is empty; texts under ``size`` bytes stay whole. Rows that repeat
-    a text, with the same id or another, repeat each other. kept_text leaves out
-    bytes of characters that were cut through; kept_sha256 is of the remaining
-    bytes themselves. Other columns are not read.
+    a text, with the same id, another or none, repeat each other, so all their
+    bytes under ``size``-byte strings go. kept_text leaves out bytes of
+    characters that were cut through; kept_sha256 is of the remaining bytes
+    themselves. An empty table gives no rows. Other columns are not read.
     """
     keyed = _keyed(docs)
-    found = anchors(keyed, size, gram)
-    twice = found.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("f1", "f2")).alias("f0"), F.max(F.struct("f1", "f2")).alias("f9")).filter("n > 1").select("g", (F.col("f0") == F.col("f9")).alias("alike"))
-    again = materialize(found.join(twice, "g").drop("g"), "stretches")
-    full = again.filter("not alike").groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ROW, "lo")).alias("head")).filter("n > 1").select("f1", "f2", "head", F.lit(True).alias("full"))
-    # one of equal stretches stands for their windows where others of the anchor are open
-    mixed = again.filter("not alike").join(full, ["f1", "f2"], "left").select(*ROW, "lo", "hi", F.coalesce("full", F.lit(False)).alias("full"), (F.col("full").isNull() | (F.col("head") == F.struct(*ROW, "lo"))).alias("probe"))
-    judged = again.filter("alike").select(*ROW, "lo", "hi", F.lit(True).alias("full"), F.lit(False).alias("probe")).unionByName(mixed)
-    spans = lambda c: F.collect_list(F.when(c, F.struct("lo", "hi")))
-    of_doc = materialize(judged.groupBy(*ROW).agg(spans(F.col("full")).alias("whole"), spans(F.col("probe")).alias("open")), "stretches-of-texts")
+    found = materialize(anchors(keyed, size, gram), "anchors").withColumn("single", F.lit(True))
+    whole, rest = _settle(found, most)
+    judged = whole.select(*ROW, "lo", "hi", F.lit(True).alias("is_whole"), *(F.lit(None).cast(t).alias(c) for c, t in (("at", "int"), ("key", "long"), ("single", "boolean"), ("crowded", "boolean")))).unionByName(rest.withColumn("is_whole", F.lit(False)))
+    gather = lambda c, *names: F.collect_list(F.when(c, F.struct(*names)))
+    of_doc = materialize(judged.groupBy(*ROW).agg(gather(F.col("is_whole"), "lo", "hi").alias("whole"), gather(~F.col("is_whole"), "key", "lo", "hi", "at", "single", "crowded").alias("open")), "stretches-of-texts")
     slot = F.pmod(F.col("h"), F.lit(BUCKETS)).cast("int")
     slots = F.broadcast(of_doc.select(slot.alias("slot")).distinct())  # at most BUCKETS rows
     slotted = keyed.withColumn("slot", slot)
-    held = materialize(slotted.join(slots, "slot", "left_semi").drop("slot").join(of_doc, ROW, "left").withColumn("open", F.coalesce("open", F.array().cast("array<struct<lo:int,hi:int>>"))), "texts-with-stretches")
-    windows = _windows(held, size)
-    met = windows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2")
-    starts = windows.join(met, ["k1", "k2"]).groupBy(*ROW).agg(F.collect_list("start").alias("starts"))
-    cut = held.join(starts, ROW, "left").select("doc_id", "text", "whole", "starts").mapInArrow(_cut(size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    held = materialize(slotted.join(slots, "slot", "left_semi").drop("slot").join(of_doc, ROW, "left").withColumn("open", F.coalesce("open", F.array().cast(dict(of_doc.dtypes)["open"]))), "texts-with-stretches")
+    pieces = materialize(_slices(held, size), "pieces")
+    solved = _sorted(pieces, size)
+    crowd, part = pieces.filter("crowded"), size - gram + 1
+    while crowd.limit(1).count():
+        part = -(-part // FAN)
+        whole, rest = _settle(materialize(_split(crowd, part, size), "parts"), most, ("slice",))
+        rest = materialize(rest if part > 1 else rest.withColumn("crowded", F.lit(False)), "parts-left")
+        solved = solved.unionByName(whole).unionByName(_sorted(rest, size))
+        crowd = rest.filter("crowded")
+    runs = solved.groupBy(*ROW).agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
+    cut = held.join(runs, ROW, "left").select("doc_id", "text", "whole", "more").mapInArrow(_cut(size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     rest = slotted.join(slots, "slot", "left_anti").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept_text"))
     return cut.unionByName(rest)

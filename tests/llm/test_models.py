@@ -6,7 +6,7 @@ import pytest
 import brute
 import edge
 from fieldloom.llm import mixing, toxicity
-from fieldloom.llm.repeats import Prefix, remove_repeats, stretches
+from fieldloom.llm.repeats import Prefix, remove_repeats, sort_suffixes, stretches
 
 
 @pytest.fixture(scope="module")
@@ -71,8 +71,8 @@ def test_mixing_edges(spark, labels):
     assert out.columns == df.columns
 
 
-def check(df, rows, size=400, gram=200):
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(df, size, gram).collect()}
+def check(df, rows, size=400, gram=200, **more):
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(df, size, gram, **more).collect()}
     assert got == brute.repeats(rows, size)
 
 
@@ -83,18 +83,42 @@ def test_repeats(spark, small, which):
     check(df, [(r.doc_id, r.text) for r in df.collect()])
 
 
-def test_repeats_small_alphabet(spark):
+@pytest.mark.parametrize("most", [4096, 2])
+def test_repeats_small_alphabet(spark, most):
     import random
 
     rnd = random.Random(2)
     bits = ["".join(rnd.choice("abé") for _ in range(rnd.randint(5, 60))) for _ in range(8)]
     rows = [(i, "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9)))) for i in range(60)] + [(100, "a" * 90), (101, "a" * 41), (102, None)]
-    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, 40, 20)
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, 40, 20, most=most)
+
+
+def test_repeats_rows_that_repeat_an_id(spark):
+    text, other = "abcdefghij" * 9, "0123456789" * 7
+    rows = [(1, text), (1, text), (1, other), (2, other), (None, text[:50]), (None, None), (3, "q" * 39)]
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 40, 20).collect())
+    assert got == [(0, 0, 0), (0, 50, 50), (1, 70, 70), (1, 90, 90), (1, 90, 90), (2, 70, 70), (3, 39, 0)]
+
+
+def test_suffix_sort_without_a_usable_hash():
+    """All strings of a length collide: order and extensions must come from the bytes."""
+    rnd = np.random.default_rng(4)
+    data = rnd.integers(97, 99, 900).astype(np.uint8)
+    at, limit = np.arange(0, 880, 20), np.full(44, 20)
+    group = np.repeat([3, 5], 22)
+    prefix = Prefix()
+    want = sort_suffixes(prefix, data, at, limit, group)
+    prefix.code = np.ones(256, np.uint64)
+    for order, ext in (want, sort_suffixes(prefix, data, at, limit, group)):
+        text = [data[at[i] : at[i] + 20].tobytes() for i in order]
+        assert text[:22] == sorted(text[:22]) and text[22:] == sorted(text[22:]) and ext[0] == ext[22] == -1
+        for k in (*range(1, 22), *range(23, 44)):
+            assert ext[k] == next((c for c in range(20) if text[k][c] != text[k - 1][c]), 20)
 
 
 def test_stretches_cover_all_windows():
     data = np.random.default_rng(1).integers(0, 3, 5000).astype(np.uint8)
-    lo, hi, _ = stretches(data, Prefix())
+    lo, hi, _, _ = stretches(data, Prefix())
     assert [s for a, b in zip(lo, hi, strict=True) for s in range(a, b + 1)] == list(range(5000 - 399))
 
 
