@@ -19,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set (tests)."""
+    """The folder all executors share; a temporary one only where none is set and the master is local (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="fieldloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -89,3 +91,39 @@ def only(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     slots = F.broadcast(ids.select(slot(F.col(key)).alias("_slot")).distinct())
     near = rows.withColumn("_slot", slot(F.col(key))).join(slots, "_slot", "left_semi").drop("_slot")
     return near.join(ids, key, "left_semi")
+
+
+#: What a null doc_id counts as where ids are ordered: after all others.
+LAST_ID = (1 << 63) - 1
+
+
+def row_key(doc_id: str | Column = "doc_id", text: str | Column = "text") -> list[Column]:
+    """(did, h, b): a row by its id and text. Rows that agree on it are copies of one another."""
+    text = text_or_empty(text)
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return [F.coalesce(doc_id.cast("long"), F.lit(LAST_ID)).alias("did"), F.xxhash64(text).alias("h"), F.octet_length(text).cast("long").alias("b")]
+
+
+def keep_one(docs: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
+    """docs with one row of each class: of the least id (nulls last), and of its rows the one of least text hash.
+
+    classes: (did, h, b, *keys), a row for each row of docs that has a class.
+    Rows are told apart by id and text, not by id alone. Only classes of several
+    rows are looked up, and only rows whose text hash can be among them take
+    part in that join.
+    """
+    key = ["did", "h", "b"]
+    me = F.struct(*key)
+    multi = classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("best")).filter("n > 1")
+    met = attach(classes, materialize(multi, "multiple"), keys, "n", how="inner")
+    met = met.groupBy(*key).agg(F.max(me == F.col("best")).alias("wins"), F.count(F.lit(1)).alias("copies"))
+    met = materialize(met, "told-rows").select(*(F.col(c).alias(f"_fl_{c}") for c in (*key, "wins", "copies")))
+    keys = [f"_fl_{c}" for c in key]
+    slot = F.pmod(F.col("_fl_h"), F.lit(BUCKETS)).cast("int")
+    slots = F.broadcast(met.select(slot.alias("_fl_slot")).distinct())  # at most BUCKETS rows
+    rows = docs.select("*", *(c.alias(f"_fl_{n}") for c, n in zip(row_key(), key, strict=True))).withColumn("_fl_slot", slot)
+    apart = rows.join(slots, "_fl_slot", "left_anti").select(*docs.columns)
+    told = attach(rows.join(slots, "_fl_slot", "left_semi"), met, keys, "_fl_copies")
+    lone = told.filter("_fl_wins is null or (_fl_wins and _fl_copies = 1)").select(*docs.columns)
+    first = told.filter("_fl_wins and _fl_copies > 1").dropDuplicates(keys).select(*docs.columns)
+    return apart.unionByName(lone).unionByName(first)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import SPACE, attach, materialize, text_or_empty, width
+from fieldloom.llm.common import SPACE, attach, keep_one, materialize, row_key, text_or_empty, width
 
 KEY = ["sha", "n_bytes", "check"]
 RUN = "node int, sha binary, n_bytes long, check long, keep_id long, group_size long"
@@ -107,6 +107,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with their columns."""
-    gone = exact_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """docs with one row of each text: that of the least doc_id, whatever its columns; nulls come last.
+
+    Rows go one by one, so a row stays if its text is the first of its kind even
+    where another row has its doc_id, and of several equal rows one stays. Null
+    and empty texts are one group. An empty table stays empty.
+    """
+    own = docs.select(F.col("doc_id").alias("_id"), text_or_empty().alias("_text"))
+    plain = own.select("_id", "_text", F.regexp_replace("_text", SPACE, " ").alias("plain"))
+    rows = materialize(plain.select(*row_key("_id", "_text"), F.unhex(F.sha2("plain", 256)).alias("sha"), F.octet_length("plain").cast("long").alias("n_bytes"), F.xxhash64("plain").alias("check")), "digests")
+    several = merge_runs(rows.withColumnRenamed("did", "doc_id")).filter("group_size > 1").select(*KEY, "group_size")
+    return keep_one(docs, attach(rows, materialize(several, "digest-classes"), KEY, how="inner"), KEY)

@@ -1,7 +1,7 @@
 """Near duplicates: minima of universal hashes, banding, verification, components.
 
-Documents of one shingle set are a class, and its smallest id stands for it.
-Representatives get ``bands * rows`` minima; those that agree on all rows of a
+Rows of one shingle set are a class, a node of the graph of links.
+Classes get ``bands * rows`` minima; those that agree on all rows of a
 band share a bucket. Pairs come from buckets without ever listing all pairs of
 a bucket: in each round its first members, the heads, are paired with all later
 members of other components and then leave it, one head at first and GROWTH times
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import attach, materialize, only, per_batch
+from fieldloom.llm.common import LAST_ID, attach, keep_one, materialize, only, per_batch, row_key
 from fieldloom.llm.components import connected_components
 
 BANDS, ROWS, HEADS, GROWTH, SEED = 32, 4, 1, 32, 20_250
@@ -76,7 +76,7 @@ def sketch(s: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, key_hi, key_lo, bands, low) of every row; low is the sketch that pairs are first held against."""
+    """(doc_id, h, b, n_shingles, key_hi, key_lo, bands, low) of every row; low is the sketch that pairs are first held against."""
 
     def make():
         import xxhash
@@ -88,7 +88,7 @@ def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) ->
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             ns, his, los, keys, lows = [], [], [], [], []
-            for value in batch.column(1):
+            for value in batch.column(3):
                 s = shingles(value.as_py())
                 ns.append(len(s))
                 digest = xxhash.xxh3_128_digest(s.tobytes())
@@ -101,27 +101,30 @@ def signatures(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) ->
                 else:
                     keys.append(None)
                     lows.append(None)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(lows, pa.binary())], names=["doc_id", "n_shingles", "key_hi", "key_lo", "bands", "low"])
+            return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ns, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(lows, pa.binary())], names=["doc_id", "h", "b", "n_shingles", "key_hi", "key_lo", "bands", "low"])
 
         return one
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(per_batch(make), "doc_id long, n_shingles long, key_hi long, key_lo long, bands array<long>, low binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key()[1:], "text").mapInArrow(per_batch(make), "doc_id long, h long, b long, n_shingles long, key_hi long, key_lo long, bands array<long>, low binary")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc, shingles) of every row."""
+    """(key_hi, key_lo, n_shingles, shingles) of every row."""
 
     def make():
+        import xxhash
+
         shingles = shingler(k)
 
         def one(batch: pa.RecordBatch):
             for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(v.as_py()).view(np.int64) for v in part.column(1)], pa.list_(pa.int64()))], names=["doc", "shingles"])
+                sets = [shingles(v.as_py()) for v in batch.slice(at, 500).column(0)]
+                key = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), ">i8").astype(np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=[*KEY, "shingles"])
 
         return one
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(per_batch(make), "doc long, shingles array<long>")
+    return docs.select("text").mapInArrow(per_batch(make), "key_hi long, key_lo long, n_shingles long, shingles array<long>")
 
 
 def _named(df: DataFrame, side: str) -> DataFrame:
@@ -136,7 +139,7 @@ def _likely(live: DataFrame, front: DataFrame, reps: DataFrame, share: int) -> D
     out six standard deviations below the similarity asked for. A pair is looked
     at only in the first bucket that its members share.
     """
-    own = reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "low", "bands")
+    own = reps.select(F.col("node").alias("doc"), F.col("n_shingles").alias("n"), "low", "bands")
     cut = live.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).alias("cuts"))
     rows = live.join(cut, "bucket").join(own, "doc")
     members = rows.groupBy("bucket", F.pmod(F.xxhash64("doc"), "cuts").alias("cut")).agg(F.collect_list(F.struct("doc", "own", "comp", "n", "low", "bands")).alias("members"))
@@ -193,31 +196,33 @@ def _linkable(members: DataFrame, reps: DataFrame, sets: DataFrame, share: int)
     in thousandths: members with little of their own are heads first.
     """
     lone = sets.select("doc", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc")).filter("n = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("u"))
-    facts = reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n")).join(lone, "doc", "left").select("doc", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    facts = reps.select(F.col("node").alias("doc"), F.col("n_shingles").alias("n")).join(lone, "doc", "left").select("doc", "n", F.coalesce("u", F.lit(0)).alias("u"))
     told = members.join(facts, "doc")
     least = told.groupBy("bucket").agg(F.min("n").alias("m"))
     m = F.greatest(F.col("m"), F.ceil(F.lit(share) * F.col("n") / 100))
     return told.join(least, "bucket").filter(F.lit(100 + share) * (F.col("n") - F.col("u")) >= F.lit(share) * (F.col("n") + m)).select("bucket", "doc", F.floor(F.lit(1000) * F.col("u") / F.col("n")).alias("own"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = BANDS, rows: int = ROWS, heads: int = HEADS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
+def near_classes(docs: DataFrame, k: int = 5, share: int = 80, bands: int = BANDS, rows: int = ROWS, heads: int = HEADS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, h, b, *KEY) of every row, and (*KEY, component_id, component, group_size) of the sets in components of several rows.
 
-    Words are lower-cased in A-Z; a text of fewer than k words is one shingle,
-    and one without words, or null, has none and links with nothing. Two sets
-    link at ``100 * intersection >= share * union``; component_id is the smallest
-    id reachable over links and the row of that id is kept. Rows that repeat a
-    doc_id share a verdict. Other columns are not read.
+    A node of the graph is a distinct set, not an id, so rows that repeat an id
+    with other texts stay apart; component is a node and component_id the least
+    doc_id of its rows.
     """
     own = materialize(signatures(docs, k, bands, rows), "signatures")
-    reps = own.filter("n_shingles > 0").groupBy(*KEY).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("group_size"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("low", "doc_id").alias("low"))
-    reps = materialize(reps, "representatives")
-    entries = reps.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
+    reps = own.filter("n_shingles > 0").groupBy(*KEY).agg(F.min("doc_id").alias("doc_id"), F.min(F.xxhash64(F.coalesce("doc_id", F.lit(LAST_ID)), "h")).alias("row"), F.count(F.lit(1)).alias("group_size"), F.first("bands").alias("bands"), F.first("low").alias("low"))
+    # ids of nodes are fixed by the write
+    reps = materialize(reps.withColumn("node", F.monotonically_increasing_id()), "representatives")
+    entries = reps.select(F.explode("bands").alias("bucket"), F.col("node").alias("doc"))
     multi = entries.groupBy("bucket").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("bucket")
     members = materialize(entries.join(multi, "bucket"), "members")
-    sets = materialize(shingle_sets(only(docs, members.select(F.col("doc").alias("doc_id")).distinct()), k), "shingle-sets")
-    # rows that repeat a doc_id give one set
-    sets = sets.groupBy("doc").agg(F.first("shingles").alias("shingles"))
+    wanted = reps.join(members.select(F.col("doc").alias("node")).distinct(), "node").select("node", *KEY, "row")
+    # one row of a wanted set gives it
+    did, h, _ = row_key()
+    near = only(docs.select("text", F.xxhash64(did, h).alias("row")), wanted.select("row").distinct(), "row")
+    sets = shingle_sets(near, k).join(wanted.drop("row"), KEY)
+    sets = materialize(sets.groupBy(F.col("node").alias("doc")).agg(F.first("shingles").alias("shingles")), "shingle-sets")
     members = materialize(_linkable(members, reps, sets, share), "linkable")
     tested = labels = None
     first = heads
@@ -244,14 +249,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = B
         if not members.limit(1).count():
             break
     if labels is None:
-        labels = connected_components(own.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0))
-    ends = reps.select(*KEY, "doc_id", "group_size").join(labels, F.col("doc_id") == F.col("node"), "left").select(*KEY, "group_size", F.coalesce("component", "doc_id").alias("component_id"), F.col("component").isNotNull().alias("moved")).filter("moved or group_size > 1").drop("moved")
-    out = attach(own.select("doc_id", *KEY), materialize(ends, "near-classes"), KEY)
-    comp = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
+        labels = connected_components(reps.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    roots = labels.select(F.col("component").alias("node"), "component").distinct()
+    moved = reps.select("node", *KEY, "doc_id", "group_size").join(labels.select("node", "component").unionByName(roots), "node")
+    moved = materialize(moved, "linked-sets")
+    least = moved.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n_sets"))
+    ends = attach(moved.select("component", *KEY, "group_size"), materialize(least, "components"), ["component"], "n_sets", how="inner").select(*KEY, "component_id", "component", "group_size")
+    alone = reps.filter("group_size > 1").join(moved.select("node"), "node", "left_anti").select(*KEY, F.col("doc_id").alias("component_id"), F.col("node").alias("component"), "group_size")
+    return own.select("doc_id", "h", "b", *KEY), materialize(ends.unionByName(alone), "near-classes")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, bands: int = BANDS, rows: int = ROWS, heads: int = HEADS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row.
+
+    Words are lower-cased in A-Z; a text of fewer than k words is one shingle,
+    and one without words, or null, has none and links with nothing. Two sets
+    link at ``100 * intersection >= share * union``; component_id is the smallest
+    id reachable over links (null only where no row of the component has one)
+    and rows of that id are kept. Rows that repeat a doc_id are judged each by
+    its own text. An empty table gives no rows. Other columns are not read.
+    """
+    own, classes = near_classes(docs, k, share, bands, rows, heads)
+    out = attach(own.select("doc_id", *KEY), classes.drop("component"), KEY).withColumn("told", F.col("group_size").isNotNull())
+    comp = F.when(F.col("told"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
-    """The rows of docs that stay, with their columns."""
-    gone = near_duplicates(docs, k, share).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """docs with one row of each component: that of the least doc_id, nulls last; of several of that id one stays.
+
+    Rows go one by one, by their own texts; those without words stay. An empty
+    table stays empty.
+    """
+    own, classes = near_classes(docs, k, share)
+    rows = own.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("did"), "h", "b", *KEY)
+    return keep_one(docs, attach(rows, classes, KEY, how="inner").select("did", "h", "b", "component"), ["component"])
