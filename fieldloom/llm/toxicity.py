@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import per_batch
+from fieldloom.llm.common import materialize, per_batch
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDS = {".", "!", "?", "\n"}
@@ -78,6 +78,11 @@ def noisy_or(z: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0, z).sum()))
 
 
+def above_background(z: np.ndarray, bias: float) -> float:
+    """Noisy-or of what the sentences say beyond one without any weighted word, so that length alone adds nothing."""
+    return float(-np.expm1(-(np.logaddexp(0, z) - np.logaddexp(0, bias)).sum()))
+
+
 def fit(rows: list[tuple[str, int, float]], epochs: int = 200, rate: float = 0.15, l1: float = 1e-4) -> Model:
     """rows: text, label, weight. Without rows of both labels the model calls nothing toxic."""
     ids: dict[str, int] = {}
@@ -139,10 +144,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     class makes up for what the bound leaves out. Of labels given several times
     the most frequent counts, of equally frequent ones the largest; one that
     isn't among the values teaches nothing. Documents over ``most_chars`` aren't
-    taken.
+    taken, and labels without a document don't count. Of rows that repeat a
+    doc_id the one of least text hash teaches.
     """
     votes = labels.filter(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id", F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    own = votes.groupBy("doc_id").agg(F.max_by("label", F.struct("n", "label")).alias("label")).filter(F.col("label").isin(*values)).withColumn("label", F.col("label").cast("int"))
+    voted = votes.groupBy("doc_id").agg(F.max_by("label", F.struct("n", "label")).alias("label")).filter(F.col("label").isin(*values)).withColumn("label", F.col("label").cast("int"))
+    there = docs.filter(F.char_length(F.coalesce("text", F.lit(""))) <= most_chars).select("doc_id").distinct()
+    own = materialize(voted.join(there, "doc_id"), "labelled")
     counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}  # a row a value
     ids = None
     for label in sorted(counts):
@@ -150,9 +158,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         ids = part if ids is None else ids.unionByName(part)
     if ids is None:
         return []
-    # at most so many ids as values * per_class
+    # at most so many ids as values * per_class, and a row for each
     found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.char_length(F.coalesce("text", F.lit(""))) <= most_chars)
-    rows = found.orderBy("doc_id").limit(len(counts) * per_class).collect()
+    rows = found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).orderBy("doc_id").collect()
     got: dict[int, int] = {}
     for r in rows:
         got[r["label"]] = got.get(r["label"], 0) + 1
@@ -184,7 +192,7 @@ def score_documents(docs: DataFrame, model: Model, sentence_at: float = 0.5) ->
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [v.as_py() or "" for v in batch.column(1)]
-            scores = [noisy_or(model.logits(t, known)[0]) for t in texts]
+            scores = [above_background(model.logits(t, known)[0], model.bias) for t in texts]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array([spans(t) if s >= 0.5 else [] for t, s in zip(texts, scores, strict=True)], kind)], names=["doc_id", "score", "predicted", "offending"])
 
         return one
@@ -193,12 +201,31 @@ def score_documents(docs: DataFrame, model: Model, sentence_at: float = 0.5) ->
 
 
 def judge_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
-    """doc_id, held_out, score, predicted, offending of every row of docs; labels only teach."""
+    """doc_id, held_out, score, predicted, offending of every row of docs; labels only teach.
+
+    Rows that repeat a doc_id are scored each by its own text; a null doc_id is
+    not held out. Null, empty and wordless texts score 0. Without labels of both
+    kinds nothing is called toxic; an empty table gives no rows.
+    """
     scored = score_documents(docs, fit(labelled_sample(docs, labels, column, per_class)))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "offending")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that aren't called toxic, with their columns."""
-    bad = judge_toxicity(docs, labels).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that aren't called toxic, with their columns.
+
+    Each row goes or stays by its own text, in the pass that reads it, whatever
+    other rows have its doc_id. Null and empty texts stay.
+    """
+    model = fit(labelled_sample(docs, labels, "toxic"))
+    place = docs.columns.index("text")
+
+    def make():
+        known = model.word_weights()
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([above_background(model.logits(v.as_py() or "", known)[0], model.bias) < 0.5 for v in batch.column(place)], pa.bool_()))
+
+        return one
+
+    return docs.mapInArrow(per_batch(make), docs.schema)
