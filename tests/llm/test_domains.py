@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from fieldloom.llm import mixing, toxicity
 
@@ -43,3 +44,37 @@ def test_labelled_sample_values_and_votes(spark):
     assert two == {f"text {i}": i % 2 for i in rest}
     three = {t: y for t, y, _ in toxicity.labelled_sample(docs, labels, "toxic", values=(0, 1, 2))}
     assert three == two | {f"text {mixed}": 2}
+
+
+def dense(p, t, goal):
+    """Least squares with rates of nought or more, by plain projected gradient on all rows."""
+    a = p * t[:, None]
+    r = np.ones(len(t))
+    top = np.linalg.eigvalsh((p * t[:, None]).T @ p)[-1]
+    for _ in range(20000):
+        r = np.maximum(0.0, r - p @ (r @ a - goal) / top)
+    return r, np.abs(r @ a - goal).sum() / t.sum()
+
+
+def test_targets_far_from_the_natural_shares(spark):
+    """Rates of nought and above two, as a dense solver leaves the same residual."""
+    docs, labels = tables(spark)
+    rows = mixing.mix(docs, labels, {0: 0.0, 1: 0.1, 2: 0.9}).collect()
+    p, rate, t = np.array([r.posterior for r in rows]), np.array([r.rate for r in rows]), np.array([r.n_tokens for r in rows], float)
+    goal = np.array([0.0, 0.1, 0.9]) * t.sum()
+    _, left = dense(p, t, goal)
+    got = np.abs((rate * t) @ p - goal).sum() / t.sum()
+    assert got <= left + 1e-3 and (rate >= 0).all()
+    assert all(r.rate < 0.05 for r in rows if r.doc_id % 3 == 0) and all(r.rate > 2 for r in rows if r.doc_id % 3 == 2)
+
+
+def test_copies_of_rows_that_repeat_an_id(spark):
+    docs, labels = tables(spark)
+    again = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.lit(5))).withColumn("rate", F.lit("again"))
+    more = docs.withColumn("rate", F.lit("taught")).unionByName(again)
+    out = mixing.mix_documents(more, labels, {0: 0.0, 1: 0.1, 2: 0.9})
+    assert out.columns == more.columns
+    n = {None: 0, 5: 0}
+    for r in out.filter("rate = 'again'").collect():
+        n[r.doc_id] += 1
+    assert n[None] <= 3 and 200 < n[5] < 400

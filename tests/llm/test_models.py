@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 import edge
@@ -43,6 +44,40 @@ def test_toxicity_edges(spark, labels):
     assert toxicity.judge_toxicity(df.limit(0), labels).count() == 0
 
 
+def test_long_clean_text():
+    """Thousands of sentences without a weighted word don't add up to a toxic text."""
+    weights = np.zeros(toxicity.SIZE, np.float32)
+    weights[toxicity.features("idiot")] = 3
+    m = toxicity.Model(-6.0, weights)
+    clean, toxic = "a fine day. " * 20000, "you idiot."
+    assert toxicity.above_background(m.logits(clean, m.word_weights())[0], m.bias) < 1e-9
+    assert toxicity.above_background(m.logits(clean + toxic, m.word_weights())[0], m.bias) > 0.5
+
+
+def test_drops_go_by_row(spark, labels):
+    """Rows that repeat an id or have none: unique texts stay, of equal ones one does."""
+    from fieldloom.llm.exact_dedup import drop_exact_duplicates
+    from fieldloom.llm.near_dedup import drop_near_duplicates, near_duplicates
+
+    text = " ".join(f"w{i}" for i in range(90))
+    rows = [(1, text), (1, text), (2, "x y"), (2, text), (3, "another one"), (None, text), (None, "own"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as node", "2 as h", "3 as copies").repartition(3)
+    want = sorted([(1, text), (2, "x y"), (3, "another one"), (0, "own"), (0, "")])
+    for drop in (drop_exact_duplicates, drop_near_duplicates):
+        out = drop(df)
+        assert out.columns == df.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == want
+    changed = text.replace("w89", "z")
+    df = spark.createDataFrame([(7, changed), (7, "unlike all"), (7, text), (8, text), (9, None)], "doc_id long, text string")
+    assert sorted(r.text or "" for r in drop_near_duplicates(df).collect()) in (sorted(["", "unlike all", text]), sorted(["", "unlike all", changed]))
+    assert sorted((r.doc_id, r.component_id, r.n_shingles) for r in near_duplicates(df).collect()) == [(7, 7, 1), (7, 7, 86), (7, 7, 86), (8, 7, 86), (9, 9, 0)]
+    bad = spark.createDataFrame([(1, "you idiot, you moron, you worthless scum."), (1, "a fine day"), (None, None)], "doc_id long, text string").withColumn("score", F.lit(1))
+    real = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", F.lit(0).alias("score"))
+    all_labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    left = {(r.doc_id, r.text) for r in toxicity.drop_toxic(real.unionByName(bad), all_labels).filter("score = 1").collect()}
+    assert left == {(1, "a fine day"), (None, None)}
+
+
 def test_noisy_or():
     m = toxicity.Model(-3.0, np.zeros(toxicity.SIZE, np.float32))
     z, starts = m.logits("one two. three! four", m.word_weights())
@@ -67,6 +102,7 @@ def test_mixing_edges(spark, labels):
     df = edge.documents(spark)
     assert mixing.mix(df, labels.limit(0)).count() == df.count()
     assert mixing.mix(df.limit(0), labels).count() == 0
+    assert mixing.mix_documents(df.limit(0), labels).count() == 0
     out = mixing.mix_documents(df, labels, {0: 0.5, 1: 0.5})
     assert out.columns == df.columns
 
