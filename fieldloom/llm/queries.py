@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm.chat import format_windows, read_windows
-from fieldloom.llm.common import per_batch, table
+from fieldloom.llm.common import table
 from fieldloom.llm.exact_dedup import exact_duplicates
 from fieldloom.llm.mixing import TARGETS, mix
 from fieldloom.llm.near_dedup import near_duplicates
@@ -61,20 +58,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
-
-    def make():
-        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            said, digests = [], []
-            for spans in batch.column(1).to_pylist():
-                named = [f"{s['kind']}:{s['start']}:{s['end']}" for s in spans]
-                said.append(",".join(named))
-                digests.append(hashlib.sha256(",".join(n for n in named if not n.startswith("random")).encode()).hexdigest())
-            counts = [[sum(s["kind"] == k for s in spans) for spans in batch.column(1).to_pylist()] for k in ("assign", "access", "hex")]
-            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(said, pa.string())], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-
-        return one
-
-    return found.mapInArrow(per_batch(make), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    said = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

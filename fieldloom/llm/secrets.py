@@ -1,15 +1,16 @@
 """Secrets in texts: three plain patterns, and a token-efficiency test.
 
 Random strings split into many short tokens under a byte-level BPE vocabulary,
-while words, names and numbers people write do not. A candidate is a run of key
-characters with letters and digits; known digests (hex of the usual lengths,
-UUIDs) and identifiers (words and numbers joined by separators) are excluded,
-and of the rest a run with few characters a token is reported.
+while words, names and numbers people write do not. A candidate is a run of
+``SHORTEST`` key characters or more; known digests (hex of the usual lengths,
+UUIDs) and identifiers (words and numbers joined by separators, capitalised
+words joined) are excluded, and of the rest a run with few characters a token is
+reported, of letters alone too. Runs under ``LONG`` characters must mix cases or
+hold digits beside letters, and are held to a stricter ratio.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import pyarrow as pa
@@ -23,10 +24,13 @@ WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SHORTEST, LONG = 16, 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 DIGEST = re.compile(r"[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}|[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_=-]*")
-LEAST_CHARS_A_TOKEN = 2.2
+IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15}|[0-9]+)(?:[+/_=-]+(?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15}|[0-9]+))+[+/_=-]*|(?:[A-Z][a-z]{2,12}|[a-z]{3,12})(?:[A-Z][a-z]{2,12})+[0-9]{0,4}")
+MIXED = re.compile(r"(?=.*[a-z])(?=.+[A-Z])|(?=.*[0-9])(?=.*[A-Za-z])")
+#: Characters a token under which a run is random: of LONG characters or more, and of fewer.
+LEAST_CHARS_A_TOKEN, LEAST_OF_SHORT = 1.9, 1.75
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -46,11 +50,14 @@ def random_spans(text: str, bpe, taken: list[tuple[int, int, int]], least: float
     out = []
     for m in CANDIDATE.finditer(text):
         run = m[0]
-        if run.isalpha() or not any(map(str.isdigit, run)) or run.isdigit() or DIGEST.fullmatch(run) or IDENTIFIER.fullmatch(run):
+        if run.isdigit() or not any(map(str.isalnum, run)) or DIGEST.fullmatch(run) or IDENTIFIER.fullmatch(run):
             continue
         if any(s < m.end() and m.start() < e for s, e, _ in taken):
             continue
-        if len(run) < least * len(bpe.encode_ordinary(run)):
+        short = len(run) < LONG
+        if short and not MIXED.match(run):
+            continue
+        if len(run) < (least - LEAST_CHARS_A_TOKEN + LEAST_OF_SHORT if short else least) * len(bpe.encode_ordinary(run)):
             out.append((m.start(), m.end(), 3))
     return out
 
@@ -77,7 +84,3 @@ def scan_secrets(docs: DataFrame, least: float = LEAST_CHARS_A_TOKEN, ranks_path
         return one
 
     return docs.select("doc_id", "text").mapInArrow(per_batch(make), f"doc_id {dict(docs.dtypes)['doc_id']}, spans array<struct<kind:string,start:bigint,end:bigint>>")
-
-
-def span_digest(spans: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()

@@ -104,6 +104,27 @@ def test_secrets_random_strings(spark):
     assert got == {1: [("random", 2, 26)], 2: [], 3: [], 4: [], 5: [], 6: [("assign", 0, 30)]}
 
 
+def test_random_strings_precision_and_recall():
+    """Random strings of several alphabets against names, paths, numbers and long words."""
+    import random
+
+    from fieldloom.llm.secrets import LEAST_CHARS_A_TOKEN, random_spans
+    from fieldloom.llm.vocab import tiktoken_bpe
+
+    rnd, bpe = random.Random(7), tiktoken_bpe()
+    lower, upper, digit = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    random_ = ["".join(rnd.choice(a) for _ in range(rnd.randint(20, 44))) for a in (lower + upper + digit, lower + upper, lower + digit, upper + digit, lower, lower + upper + digit + "+/") for _ in range(300)]
+    random_ += ["".join(rnd.choice(lower + upper + digit) for _ in range(rnd.randint(16, 19))) for _ in range(300)]
+    words = "account archive balance button calendar change channel client column comment config connection content counter country currency customer database default delivery description document element entry error event export factory feature filter folder format function gateway handler header history identifier image import index instance invoice journal language layout listener location manager member message method module network notification number object operation option order package parameter partner password payment permission picture platform policy product profile project property provider query record reference region report request resource response result schedule schema section selector server service session setting shipment signal source status storage stream string summary support system table target template text thread ticket token transaction transfer update upload user value version warehouse window".split()
+    pick = lambda n: [rnd.choice(words) for _ in range(n)]
+    plain = ["".join(w.capitalize() for w in pick(4)) for _ in range(500)] + ["_".join(pick(3)) + str(rnd.randint(1, 2030)) for _ in range(500)] + ["/".join(pick(4)) for _ in range(300)] + ["-".join(pick(3)).upper() + "-2024" for _ in range(300)]
+    plain += ["Geschwindigkeitsbegrenzung", "Bezirksschornsteinfegermeister", "internationalization", "anticonstitutionnellement", "20240131T235959000Z", "d41d8cd98f00b204e9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000", "====================", "01234567890123456789"]
+    hit = lambda s: bool(random_spans(s, bpe, [], LEAST_CHARS_A_TOKEN))
+    found, wrong = sum(map(hit, random_)), sum(map(hit, plain))
+    assert found >= 0.95 * len(random_)
+    assert found / (found + wrong) >= 0.95 and wrong <= 0.02 * len(plain), [s for s in plain if hit(s)][:9]
+
+
 @pytest.mark.parametrize("carry", [8192, 2])
 def test_packing(docs, carry):
     df, rows = docs
