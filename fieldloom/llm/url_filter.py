@@ -36,7 +36,15 @@ class Rule:
 
 BASE = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 #: Globs over the canonical form that decide where no base rule fits; the first that matches holds, else allow.
-EXTRA = (("block", "*spam**"), ("block", "*.cheap-*/**"), ("block", "**/ads/**"), ("block", "**casino**"))
+EXTRA = (
+    ("allow", "*.gov/**"), ("allow", "*.edu/**"), ("allow", "*.wikipedia.org/wiki/**"),
+    ("block", "*spam**"), ("block", "*.cheap-*/**"), ("block", "*.free-*-download*/**"), ("block", "*.ad?.*/**"), ("block", "*.adserver.**"), ("block", "*.doubleclick.**"), ("block", "*.track*.*/**"),
+    ("block", "**/ads/**"), ("block", "**/adclick**"), ("block", "**/banner/**"), ("block", "**/popup/**"), ("block", "**/wp-login.php"), ("block", "**/wp-admin/**"), ("block", "**/cgi-bin/**"), ("block", "**/cart/**"), ("block", "**/checkout/**"), ("block", "**/login/**"), ("block", "**/signup/**"),
+    ("block", "**casino**"), ("block", "**poker**"), ("block", "**porn**"), ("block", "**xxx**"), ("block", "**viagra**"), ("block", "**payday-loan**"), ("block", "**torrent**"), ("block", "**warez**"),
+    ("block", "**.exe"), ("block", "**.zip"), ("block", "**.iso"), ("block", "**.css"), ("block", "**.js"), ("block", "**.png"), ("block", "**.jpg"), ("block", "**.gif"),
+)
+#: Bits of a tile: rules beyond it go to the next, so the state of a batch is rows by TILE bits at any number of rules.
+TILE, MOST_RULES = 4096, 1_000_000
 SLASH = ord("/")
 
 
@@ -106,6 +114,40 @@ class Automaton:
         return out
 
 
+def match_all(globs: list[str], tile: int = TILE) -> list[tuple[int, Automaton]]:
+    """Automata of at most about ``tile`` bits each, with the place of each one's first glob."""
+    out, at, bits = [], 0, 0
+    for i, g in enumerate(globs):
+        n = len(g.encode()) + 1
+        if i > at and bits + n > tile:
+            out.append((at, Automaton(globs[at:i])))
+            at, bits = i, 0
+        bits += n
+    return [*out, (at, Automaton(globs[at:]))] if globs else out
+
+
+def first_match(automata: list[tuple[int, Automaton]], texts: list[bytes], none: int) -> np.ndarray:
+    """The place of the first glob that matches each text, else ``none``; a text that has one skips later tiles."""
+    found = np.full(len(texts), none)
+    left = np.arange(len(texts))
+    for at, auto in automata:
+        hit = auto.match([texts[i] for i in left])
+        some = hit.any(axis=1)
+        found[left[some]] = at + hit[some].argmax(axis=1)
+        left = left[~some]
+        if not len(left):
+            break
+    return found
+
+
+def rules_of(table: DataFrame, most: int = MOST_RULES) -> tuple[tuple[str, str], ...]:
+    """(verdict, glob) rules from a table (place, verdict, glob), in the order of place; more than ``most`` are an error."""
+    rows = table.orderBy("place", "glob").select("verdict", "glob").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rules")
+    return tuple((r["verdict"], r["glob"]) for r in rows if r["glob"])
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     """Host, with A-Z lower-cased, and path; both empty for null or without ``://``."""
     _, sep, rest = (url or "").partition("://")
@@ -125,22 +167,21 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = BASE, extra: tuple[tu
     The longest base rule that fits gives the verdict (of two of one length the
     earlier); otherwise the first extra glob that matches does, and else the
     verdict is allow. ``glob`` names the extra glob that decided. A rule for an
-    empty host fits nothing. Repeated rows are judged each; other columns are
-    not read.
+    empty host fits nothing. Null and empty urls, and those without ``://``, have
+    no host and no path and are allowed by default. Repeated rows are judged
+    each; an empty table gives no rows; other columns are not read.
     """
     ranked = sorted((r for r in rules if r.host), key=lambda r: -len(r.name))
 
     def make():
-        auto = Automaton([r.glob for r in ranked] + [g for _, g in extra])
+        automata = match_all([r.glob for r in ranked] + [g for _, g in extra])
         names, verdicts = [*(r.name for r in ranked), None], [*(r.verdict for r in ranked), *(v for v, _ in extra), "allow"]
         globs = [*(g for _, g in extra), None]
         m = len(ranked)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             parts = [split_url(u) for u in batch.column(1).to_pylist()]
-            hit = auto.match([f".{h}{p}".encode() if h else b"" for h, p in parts])
-            hit = np.hstack([hit, np.ones((len(parts), 1), bool)])
-            first = hit.argmax(axis=1)
+            first = first_match(automata, [f".{h}{p}".encode() if h else b"" for h, p in parts], len(verdicts) - 1)
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array([names[min(k, m)] for k in first], pa.string()), pa.array([verdicts[k] for k in first], pa.string()), pa.array([globs[k - m] if k >= m else None for k in first], pa.string())], names=[id_col, "host", "path", "rule", "verdict", "glob"])
 
         return one

@@ -89,6 +89,21 @@ def test_automaton_many_words():
     assert hit.tolist() == [[bool(r.fullmatch(t)) for r in like] for t in texts]
 
 
+def test_rules_from_a_table_in_tiles(spark):
+    """Many rules over several tiles: the first that matches holds, and ties of equal base rules go to the earlier."""
+    from fieldloom.llm.url_filter import Rule, first_match, match_all, rules_of
+
+    table = spark.range(500).selectExpr("id as place", "case when id % 2 = 0 then 'block' else 'allow' end as verdict", "concat('**/p', id, '/**') as glob")
+    extra = rules_of(table)
+    assert len(extra) == 500 and len(match_all([g for _, g in extra], 256)) > 10
+    texts = [f".a.b/p{i}/x/p{j}/".encode() for i, j in ((3, 400), (400, 3), (499, 499), (777, 778))]
+    assert first_match(match_all([g for _, g in extra], 256), texts, 500).tolist() == [3, 3, 499, 500]
+    df = spark.createDataFrame([(1, "http://a.b/p8/x"), (1, "http://a.b/p7/x"), (None, None), (2, "")], "page_id long, url string")
+    assert sorted((r.page_id or 0, r.verdict) for r in judge_urls(df, extra=extra).collect()) == [(0, "allow"), (1, "allow"), (1, "block"), (2, "allow")]
+    tied = judge_urls(df, rules=(Rule("block", "a.b", "/p8"), Rule("allow", "a.b", "/p8")))
+    assert [r.verdict for r in tied.filter("rule is not null").collect()] == ["block"]
+
+
 def test_secrets(docs, spark, small):
     df, rows = docs
     got = {r.doc_id: [f"{s.kind}:{s.start}:{s.end}" for s in r.spans] for r in scan_secrets(df).collect()}
