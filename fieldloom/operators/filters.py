@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.functions.text import alnum_tokens, camel_tokens, light_stem, normalise, words
 
+# fixed values: phrases that leave a query unclear
 VAGUE = ("something", "anything", "whatever", "some data", "etc")
 # fixed values: names that are everyday words, and for leakage also common words of queries
 EVERYDAY = (
@@ -25,6 +26,8 @@ TRIVIAL = (
     "there", "here", "some", "only", "also", "more", "most", "many", "each",
     "been", "info", "read", "like", "make", "take", "come", "work", "year",
 )
+# fixed values: words of names that say nothing of their own in the strict test
+NAMELESS = ("id", "name", "type", "value", "data", "item", "list", "count", "total", "date", "time")
 # fixed values: names that every owner has
 GENERIC = ("id", "createdat", "updatedat", "deletedat", "publishedat", "version", "type")
 
@@ -34,21 +37,21 @@ def min_quality(df: DataFrame, quality: str = "quality", least: float = 0.25) ->
 
 
 def is_clear(query: Column, positive: Column, word_boundary: bool = False) -> Column:
-    """Four words or more, none of the vague phrases, and a positive."""
+    """Four words or more, none of the vague phrases, and a positive that isn't blank."""
     q = normalise(query)
     vague = F.lit(False)
     for v in VAGUE:
         vague = vague | (q.rlike(rf"\b{v}\b") if word_boundary else q.contains(v))
-    return (F.size(words(query)) >= 4) & ~vague & positive.isNotNull()
+    return (F.size(words(query)) >= 4) & ~vague & (F.coalesce(F.trim(positive), F.lit("")) != "")
 
 
-def world_leakage(queries: DataFrame, terms: DataFrame, threshold: float = 0.2) -> DataFrame:
-    """Queries of the worlds in which at most ``threshold`` of the queries hold one of their world's terms.
+def leak_flags(queries: DataFrame, terms: DataFrame) -> DataFrame:
+    """queries with leaked (0 or 1): whether the text holds one of its world's terms, or of all worlds' where the world has none.
 
     terms: (world, term). A null or empty world is "unknown". Terms of a world
-    are gathered as one array, which is bounded by the world's schema. A world
-    without a row in terms is held against the terms of all worlds, in blocks of
-    about a thousand, once for each distinct text.
+    are gathered as one array, which is bounded by the world's schema. The terms
+    of all worlds are met in blocks of about a thousand, once for each distinct
+    text.
     """
     told = F.lower("term")
     meant = (F.length("term") >= 4) & ~told.isin(*TRIVIAL)
@@ -61,12 +64,67 @@ def world_leakage(queries: DataFrame, terms: DataFrame, threshold: float = 0.2)
     caught = others.filter(F.exists("block", lambda t: F.col("_q").contains(t))).select("_q").distinct().withColumn("_caught", F.lit(True))
     df = df.withColumn("_q", F.when(F.col("terms").isNull(), q)).join(caught, "_q", "left")
     leaked = F.coalesce(F.exists("terms", lambda t: q.contains(t)), F.col("_caught"), F.lit(False)).cast("int")
-    share = F.avg("leaked").over(Window.partitionBy("world"))
-    return df.withColumn("leaked", leaked).withColumn("share", share).filter(F.col("share") <= threshold).select(*queries.columns, "leaked")
+    return df.withColumn("leaked", leaked).select(*queries.columns, "leaked")
+
+
+def world_leakage(queries: DataFrame, terms: DataFrame, threshold: float = 0.2) -> DataFrame:
+    """Queries of the worlds in which at most ``threshold`` of the queries leak, with their flag (see leak_flags).
+
+    Shares are aggregated by world and joined back, so no world comes whole to a
+    task.
+    """
+    flagged = leak_flags(queries, terms)
+    ok = flagged.groupBy("world").agg(F.avg("leaked").alias("_share")).filter(F.col("_share") <= threshold).select("world")
+    return flagged.join(ok, "world", "left_semi").select(*queries.columns, "leaked")
+
+
+def good_synthetic(queries: DataFrame, text: str = "query", quality: str = "quality_score", least: float = 0.55) -> DataFrame:
+    """Queries of at least this score and three words."""
+    return queries.filter((F.col(quality) >= least) & (F.size(words(F.col(text))) >= 3))
+
+
+def family_leakage(queries: DataFrame, names: DataFrame, threshold: float = 0.7, family: str = "family_id", text: str = "query") -> DataFrame:
+    """Queries of the families in which no more than ``threshold`` of the queries hold a type's name.
+
+    names: (name), the types of the schemas; they are met in blocks of about a
+    thousand by distinct texts. Null families are one.
+    """
+    told = names.select(F.lower("name").alias("n")).filter("n <> ''").distinct()
+    blocks = told.groupBy(F.pmod(F.xxhash64("n"), F.lit(told.count() // 1000 + 1)).alias("b")).agg(F.collect_list("n").alias("block"))
+    low = F.lower(text)
+    hit = queries.select(low.alias("_q")).distinct().crossJoin(blocks.select("block")).filter(F.exists("block", lambda t: F.col("_q").contains(t))).select("_q").distinct()
+    flagged = queries.withColumn("_q", low).join(hit.withColumn("_hit", F.lit(1)), "_q", "left")
+    over = flagged.groupBy(F.col(family).alias("_f")).agg(F.avg(F.coalesce("_hit", F.lit(0))).alias("share")).filter(F.col("share") > threshold)
+    return queries.join(over, F.col(family).eqNullSafe(F.col("_f")), "left_anti")
+
+
+# fixed values: names that no reader takes for a thing
+UGLY = r"(?i)Extension\d+|(?i)^[a-z]+Input$|(?-i)Payload$|Connection$|Edge$"
+
+
+def is_friendly(owner: Column, words_: tuple[str, ...]) -> Column:
+    """A word of the owner's name is among those given, and the name isn't an ugly one."""
+    parts = F.transform(F.regexp_extract_all(owner, F.lit("[A-Z][a-z]+|[a-z]+"), F.lit(0)), F.lower)
+    return F.arrays_overlap(parts, F.array(*map(F.lit, words_))) & ~owner.rlike(UGLY)
+
+
+def safe_aliases(aliases: Column, owner: Column, field: Column) -> Column:
+    """The aliases that neither hold nor are held by the owner's or the field's name."""
+    o, f = F.lower(owner), F.lower(field)
+    return F.filter(F.coalesce(aliases, F.array().cast("array<string>")), lambda a: (a != "") & ~F.contains(o, F.lower(a)) & ~F.contains(f, F.lower(a)) & ~F.contains(F.lower(a), o) & ~F.contains(F.lower(a), f))
+
+
+def require_real_rows(rows: DataFrame, source: str = "source", least: float = 0.9, real: tuple[str, ...] = ("openai-world-seed", "mock-seed")) -> DataFrame:
+    """(source, n) of the rows; fails where under ``least`` of them come from a real source. No rows pass."""
+    counts = rows.groupBy(F.coalesce(source, F.lit("unknown")).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    total, good = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("source").isin(*real), F.col("n"))), F.lit(0))).first()
+    if total and good / total < least:
+        raise ValueError(f"{good} of {total} rows come from a real source, under {least:.0%}")
+    return counts
 
 
 def stems(tokens: Column) -> Column:
-    return F.array_distinct(F.transform(F.filter(tokens, lambda x: (F.length(x) >= 3) & ~x.isin(*TRIVIAL)), light_stem))
+    return F.array_distinct(F.transform(F.filter(tokens, lambda x: (F.length(x) >= 3) & ~x.isin(*NAMELESS)), light_stem))
 
 
 def query_stems(query: Column) -> Column:

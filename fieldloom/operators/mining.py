@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldloom.functions.text import choice_key
+from fieldloom.functions.text import choice_key, name_stem
 
 
 def tiered(ranked: DataFrame, k: int = 3) -> DataFrame:
@@ -21,22 +21,121 @@ def tiered(ranked: DataFrame, k: int = 3) -> DataFrame:
     return df.filter("tier is not null").select("query_id", "doc_id", "rank", "tier")
 
 
-def confusers(coords: DataFrame, seed: str = "7") -> DataFrame:
-    """(doc_id, tag, negative): for each tag one other coordinate of the same world, in hashed order.
+def ring(rows: DataFrame, group: list[str], item: str, seed: str) -> DataFrame:
+    """(group, item, place, n): the distinct items of each group, numbered from 0 in hashed order.
 
-    Tags: same owner, same field name with another owner, same return type. The
-    pick is the least md5 of seed, target and candidate over the whole group, so
-    each member is paired with every other; a world's schema bounds its groups.
+    With numbers a row finds a partner by an equi-join, so no group is paired
+    with itself.
+    """
+    one = rows.select(*group, item).distinct()
+    order = Window.partitionBy(*group).orderBy(choice_key(seed, F.col(item)), item)
+    sizes = one.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return one.withColumn("place", F.row_number().over(order) - 1).join(sizes, group)
+
+
+def _draw(seed: str, *cols: Column) -> Column:
+    """A number from a row's own hash."""
+    return F.conv(F.substring(choice_key(seed, *cols), 1, 8), 16, 10).cast("long")
+
+
+def _other(rows: DataFrame, group: list[str], seed: str) -> DataFrame:
+    """(group, coordinate, negative): for each coordinate another of its group, each of them as likely."""
+    numbered = ring(rows, group, "coordinate", seed)
+    to = F.pmod(F.col("place") + 1 + F.pmod(_draw(seed + "d", F.col("coordinate")), F.greatest(F.col("n") - 1, F.lit(1))), F.col("n"))
+    asked = numbered.filter("n > 1").select(*group, "coordinate", to.alias("place"))
+    return asked.join(numbered.select(*group, F.col("coordinate").alias("negative"), "place"), [*group, "place"]).select(*group, "coordinate", "negative")
+
+
+def confusers(coords: DataFrame, seed: str = "7", tags: tuple[tuple[str, str], ...] = (("same_owner", "owner_type"), ("same_field_name", "field_name"), ("same_return_type", "return_type"))) -> DataFrame:
+    """(world_id, coordinate, tag, negative): for each tag one other coordinate of the same world, drawn by hash.
+
+    Tags: same owner, same field name with another owner, same return type. Of
+    one name, other coordinates have other owners. Coordinates are numbered
+    within their groups and each is joined to the one that its hash draws, so
+    the whole group takes part and the work grows with its size. Null keys and
+    worlds have no group. A coordinate with none of the three gets up to three
+    of its world, as ``semantic``.
     """
     out = None
-    for tag, key in (("same_owner", "owner_type"), ("same_field_name", "field_name"), ("same_return_type", "return_type")):
-        pool = coords.select("world_id", key, F.col("doc_id").alias("negative"), F.col("coordinate").alias("other"), F.col("owner_type").alias("its_owner") if key != "owner_type" else F.lit(None).alias("its_owner"))
-        pairs = coords.join(pool, ["world_id", key]).filter(F.col("coordinate") != F.col("other"))
-        if tag == "same_field_name":
-            pairs = pairs.filter(F.col("its_owner") != F.col("owner_type"))
-        picked = pairs.groupBy("doc_id").agg(F.min_by("negative", F.struct(choice_key(seed, F.col("doc_id"), F.col("negative")), F.col("negative"))).alias("negative")).withColumn("tag", F.lit(tag))
+    for tag, key in tags:
+        picked = _other(coords.select("world_id", key, "coordinate"), ["world_id", key], seed).select("world_id", "coordinate", F.lit(tag).alias("tag"), "negative")
         out = picked if out is None else out.unionByName(picked)
-    return out.select("doc_id", "tag", "negative")
+    without = coords.select("world_id", "coordinate").distinct().join(out.select("world_id", "coordinate").distinct(), ["world_id", "coordinate"], "left_anti")
+    return out.distinct().unionByName(_next(without, coords, 3, seed).select("world_id", "coordinate", F.lit("semantic").alias("tag"), "negative"))
+
+
+def _next(asked: DataFrame, coords: DataFrame, most: int, seed: str) -> DataFrame:
+    """(world_id, coordinate, step, negative): the ``most`` coordinates after each in the world's ring."""
+    numbered = ring(coords.select("world_id", "coordinate"), ["world_id"], "coordinate", seed)
+    steps = numbered.join(asked, ["world_id", "coordinate"], "left_semi").select("world_id", "coordinate", "place", "n", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("step")).filter("step < n")
+    return steps.select("world_id", "coordinate", "step", F.pmod(F.col("place") + F.col("step"), F.col("n")).alias("place")).join(numbered.select("world_id", F.col("coordinate").alias("negative"), "place"), ["world_id", "place"]).select("world_id", "coordinate", "step", "negative")
+
+
+def name_siblings(coords: DataFrame) -> DataFrame:
+    """(world_id, field_name, other): names of a world of which one's stem is in the other.
+
+    The stem of the first has four characters or more; it is in the other's
+    name, or the other's stem in its own. All parts of a name meet the stems by
+    an equi-join instead of comparing names with names; a name is its own
+    sibling, as other owners may have it.
+    """
+    names = coords.select("world_id", "field_name").distinct().withColumn("stem", name_stem(F.col("field_name")))
+    low = F.lower("field_name")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.length(low)), lambda i: F.transform(F.sequence(F.lit(1), F.length(low) - i + 1), lambda n: F.substr(low, i, n))))
+    parts = names.filter("field_name <> ''").select("world_id", "field_name", F.explode(F.array_distinct(parts)).alias("stem"))
+    asked = names.filter(F.length("stem") >= 4)
+    inside = asked.join(parts.withColumnRenamed("field_name", "other"), ["world_id", "stem"]).select("world_id", "field_name", "other")
+    holds = parts.join(names.withColumnRenamed("field_name", "other"), ["world_id", "stem"]).select("world_id", "field_name", "other").join(asked.select("world_id", "field_name"), ["world_id", "field_name"], "left_semi")
+    return inside.unionByName(holds).distinct()
+
+
+def alias_siblings(coords: DataFrame) -> DataFrame:
+    """(world_id, coordinate, negative): other coordinates of the world whose field name is among a coordinate's aliases."""
+    asked = coords.select("world_id", "coordinate", F.explode("aliases").alias("field_name"))
+    return asked.join(coords.select("world_id", "field_name", F.col("coordinate").alias("negative")), ["world_id", "field_name"]).filter("coordinate <> negative").select("world_id", "coordinate", "negative").distinct()
+
+
+# fixed values: the pools of mined negatives, in their order
+POOLS = ("name_similarity", "structural", "lexical", "argument-shape", "semantic")
+
+
+def mined_pools(coords: DataFrame, seed: str = "7") -> DataFrame:
+    """(world_id, coordinate, place, tag, negative): one negative of each pool that has any, in the order of POOLS."""
+    near = name_siblings(coords)
+    by_name = coords.select("world_id", "field_name", "coordinate").distinct()
+    pairs = by_name.join(near, ["world_id", "field_name"]).join(by_name.select("world_id", F.col("field_name").alias("other"), F.col("coordinate").alias("negative")), ["world_id", "other"]).filter("coordinate <> negative").select("world_id", "coordinate", "negative")
+    pick = lambda df, tag: df.groupBy("world_id", "coordinate").agg(F.min_by("negative", F.struct(choice_key(seed, F.col("coordinate"), F.col("negative")), F.col("negative"))).alias("negative")).withColumn("tag", F.lit(tag))
+    keyed = confusers(coords, seed, (("structural", "owner_type"), ("lexical", "field_name"), ("argument-shape", "return_type"))).filter("tag <> 'semantic'")
+    out = pick(pairs, "name_similarity").unionByName(keyed).unionByName(pick(alias_siblings(coords), "semantic"))
+    return out.select("world_id", "coordinate", F.array_position(F.array(*map(F.lit, POOLS)), F.col("tag")).cast("int").alias("place"), "tag", "negative")
+
+
+def mine_negatives(queries: DataFrame, coords: DataFrame, seed: str = "7", least: int = 5, most: int = 8) -> DataFrame:
+    """queries with negative_coordinates and confuser_tags after mining.
+
+    queries: query_id, world_id, positive_coordinate, negative_coordinates,
+    confuser_tags. A target is looked up in its query's world, else by
+    coordinate alone, in the least world that has it. Its own negatives come
+    first, then one of each pool in order; under ``least`` are filled up from
+    the world, and ``most`` distinct ones stay. A query without a known target
+    keeps its first ``most``.
+    """
+    target = coords.select("world_id", "coordinate").distinct()
+    any_world = target.groupBy(F.col("coordinate").alias("positive_coordinate")).agg(F.min("world_id").alias("_any"))
+    here = target.select("world_id", F.col("coordinate").alias("positive_coordinate"), F.lit(True).alias("_here"))
+    asked = queries.select("query_id", "world_id", "positive_coordinate").join(here, ["world_id", "positive_coordinate"], "left").join(any_world, "positive_coordinate", "left")
+    asked = asked.select("query_id", F.when(F.col("_here"), F.col("world_id")).otherwise(F.col("_any")).alias("world_id"), F.col("positive_coordinate").alias("coordinate")).filter("world_id is not null")
+    of = mined_pools(coords, seed).groupBy("world_id", "coordinate").agg(F.array_sort(F.collect_list(F.struct("place", "negative", "tag"))).alias("p"))
+    fill = _next(asked.select("world_id", "coordinate").distinct(), coords, 2 * least, seed).groupBy("world_id", "coordinate").agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "negative"))), lambda x: x["negative"]).alias("fill"))
+    told = asked.join(of, ["world_id", "coordinate"], "left").join(fill, ["world_id", "coordinate"], "left").select("query_id", F.lit(True).alias("_known"), F.coalesce("p.negative", F.array().cast("array<string>")).alias("_n"), F.coalesce("p.tag", F.array().cast("array<string>")).alias("_t"), F.coalesce("fill", F.array().cast("array<string>")).alias("_f"))
+    empty = F.array().cast("array<string>")
+    df = queries.join(told, "query_id", "left").withColumn("_own", F.concat(F.coalesce("negative_coordinates", empty), F.coalesce("_n", empty)))
+    short = F.greatest(F.lit(0), F.lit(least) - F.size("_own"))
+    every = F.concat("_own", F.slice(F.array_except("_f", "_own"), F.lit(1), short))
+    known = F.coalesce("_known", F.lit(False))
+    negatives = F.when(known, F.slice(F.array_distinct(every), 1, most)).otherwise(F.slice(F.coalesce("negative_coordinates", empty), 1, most))
+    tags = F.when(known, F.array_distinct(F.concat(F.coalesce("confuser_tags", empty), "_t"))).otherwise(F.coalesce("confuser_tags", empty))
+    return df.withColumn("negative_coordinates", negatives).withColumn("confuser_tags", tags).select(*queries.columns)
 
 
 def margins(scores: DataFrame, margin: float = 0.05) -> DataFrame:
@@ -64,3 +163,28 @@ def stratify(items: DataFrame, fractions: dict[str, float], order: str = "item")
     nth = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
     take = F.coalesce(*(F.when(F.col("bucket") == b, F.lit(round(total * f))) for b, f in fractions.items()), F.lit(0))
     return items.withColumn("nth", nth).filter(F.col("nth") <= take).drop("nth")
+
+
+def bucket_counts(items: DataFrame, names: tuple[str, ...] = ("hard", "medium", "easy")) -> DataFrame:
+    """(bucket, n) of every bucket named, nought where it has no items."""
+    zero = items.sparkSession.createDataFrame([(b,) for b in names], "bucket string")
+    return zero.join(items.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def mine_groups(items: DataFrame, scores: DataFrame, fractions: dict[str, float] | None = None, margin: float = 0.05) -> DataFrame:
+    """items with the bucket, rank and margin of their competition set, stratified in each world.
+
+    items: item, world_id, comp_set; scores: item, doc_id, sim, is_target over the
+    item's competition set. A world's scarcest bucket sets its total; a world
+    without a share of any bucket keeps all. Items without scores are easy.
+    """
+    fractions = fractions or {"hard": 0.55, "medium": 0.3, "easy": 0.15}
+    told = margins(scores, margin)
+    wrong = scores.join(told.filter("bucket = 'hard'").select("item"), "item", "left_semi").groupBy("item").agg(F.min_by("doc_id", F.struct((-F.col("sim")).alias("s"), "doc_id")).alias("base_wrong"))
+    df = items.join(told, "item", "left").join(wrong, "item", "left").withColumn("bucket", F.coalesce("bucket", F.lit("easy")))
+    share = F.coalesce(*(F.when(F.col("bucket") == b, F.lit(f)) for b, f in fractions.items()), F.lit(0.0))
+    counts = df.groupBy("world_id", "bucket").agg(F.count(F.lit(1)).alias("k")).withColumn("share", share).filter("share > 0")
+    totals = counts.groupBy("world_id").agg(F.min(F.floor(F.col("k") / F.col("share"))).alias("total"))
+    nth = F.row_number().over(Window.partitionBy("world_id", "bucket").orderBy("item"))
+    df = df.join(totals, "world_id", "left").withColumn("_nth", nth)
+    return df.filter((F.coalesce("total", F.lit(0)) == 0) | (F.col("_nth") <= F.bround(F.col("total") * share, 0))).drop("total", "_nth")

@@ -69,10 +69,12 @@ def per_query(ranked: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def summarise(rows: DataFrame) -> DataFrame:
-    """Metric means by label and over all (label null); an empty input gives no rows."""
+    """Metric means by label, and over all (label null), which is nought for an empty input."""
     r = F.col("rank")
-    mean = lambda c, name: F.round(F.avg(c), 6).alias(name)
-    return rows.groupingSets([["label"], []], "label").agg(
+    mean = lambda c, name: F.round(F.coalesce(F.avg(c), F.lit(0.0)), 6).alias(name)
+    of = [
         F.count(F.lit(1)).alias("n"), mean(recall_at(r, 1), "recall_at_1"), mean(recall_at(r, 5), "recall_at_5"), mean(recall_at(r, 10), "recall_at_10"), mean(mrr_at(r, 10), "mrr_at_10"), mean(ndcg_at(r, 10), "ndcg_at_10"),
         mean(F.col("top1"), "exact_match_at_1"), mean((F.col("hits5") > 0).cast("int"), "set_recall_any_at_5"), mean(F.when(F.col("n_relevant") > 0, F.col("hits10") / F.col("n_relevant")).otherwise(0.0), "coverage_at_10"),
-    )
+    ]
+    every = rows.agg(*of)
+    return rows.groupBy("label").agg(*of).unionByName(every.select(F.lit(None).cast(dict(rows.dtypes)["label"]).alias("label"), *every.columns))

@@ -54,6 +54,15 @@ def coordinate_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coords(spark, sf_dir).select("doc_id", "coordinate", views.signature(o, f, r).alias("signature"), views.sdl(o, f, r).alias("sdl"), views.semantic(o, f, r, F.lit(None).cast("string"), F.lit(" ")).alias("semantic"), views.keywords(F.col("coordinate"), o, f, r).alias("keywords"))
 
 
+def terms_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(world, term): the long words of the benchmark's items, dealt round the worlds of the documents; three shares have no world there."""
+    worlds = read(spark, sf_dir, "documents").select(F.col("source").alias("world")).distinct().filter("world is not null")
+    numbered = worlds.withColumn("place", F.row_number().over(mining.Window.partitionBy(F.lit(0)).orderBy("world")) - 1)
+    words = read(spark, sf_dir, "benchmark").select("item_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("term")).filter(F.length("term") >= 9)
+    deal = words.select((F.col("item_id") % (numbered.count() + 3)).alias("place"), "term").join(numbered, "place", "left")
+    return deal.select(F.coalesce("world", F.lit("elsewhere")).alias("world"), "term").distinct()
+
+
 def clear_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = filters.min_quality(query_rows(spark, sf_dir))
     return q.filter(filters.is_clear(F.col("query"), F.col("world"))).select("doc_id", "quality")
@@ -61,8 +70,8 @@ def clear_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def world_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = query_rows(spark, sf_dir)
-    terms = q.filter("doc_id % 50 = 0").select("world", F.explode(F.slice(F.split("query", " "), 1, 3)).alias("term"))
-    return filters.world_leakage(q, terms, 0.5).groupBy("world").agg(F.count(F.lit(1)).alias("n"), F.sum("leaked").alias("n_leaked"))
+    flagged = filters.leak_flags(q.select("world", "query"), terms_of(spark, sf_dir))
+    return flagged.groupBy("world").agg(F.count(F.lit(1)).alias("n"), F.sum("leaked").alias("n_leaked")).filter(F.col("n_leaked") / F.col("n") <= 0.5)
 
 
 def strict_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +99,7 @@ def mined_confusers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tiered_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec = read(spark, sf_dir, "embeddings")
-    ranked = retrieval.top_k(vec.filter("vec_id % 10 = 0"), vec, 20)
+    ranked = retrieval.top_k(vec.filter("vec_id % 10 = 0"), vec, max(1, vec.count()))
     a, b = vec.select(F.col("vec_id").alias("query_id"), F.col("label").alias("ql")), vec.select(F.col("vec_id").alias("doc_id"), F.col("label").alias("dl"))
     judged = ranked.join(a, "query_id").join(b, "doc_id").select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), (F.col("ql") == F.col("dl")).alias("same_owner"), (F.pmod("query_id", F.lit(4)) == F.pmod("doc_id", F.lit(4))).alias("same_field"))
     return mining.tiered(judged, 3)
@@ -98,7 +107,7 @@ def tiered_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec = read(spark, sf_dir, "embeddings")
-    ranked = retrieval.top_k(vec.filter("vec_id % 10 = 0"), vec, 6)
+    ranked = retrieval.top_k(vec.filter("vec_id % 10 = 0"), vec, max(1, vec.count()))
     return ranked.select(F.col("query_id").alias("item"), "doc_id", "sim", (F.pmod("doc_id", F.lit(3)) == F.pmod("query_id", F.lit(3))).alias("hit")).withColumn("is_target", F.col("hit") & (F.col("doc_id") == F.min(F.when(F.col("hit"), F.col("doc_id"))).over(mining.Window.partitionBy("item")))).drop("hit")
 
 
@@ -144,11 +153,12 @@ def best_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items with their state: known to the corpus by their first word, or rejected."""
-    firsts = query_rows(spark, sf_dir).select(F.lower(F.element_at(F.split("query", " "), 1)).alias("w")).filter("w is not null and w <> ''").distinct()
-    items = read(spark, sf_dir, "benchmark").select("item_id", F.lower(F.element_at(F.split("text", " "), 1)).alias("w"))
-    good, bad = items.join(firsts, "w", "left_semi"), items.join(firsts, "w", "left_anti")
-    return good.select("item_id", F.lit("kept").alias("state")).unionByName(bad.select("item_id", F.lit("rejected").alias("state")))
+    """Benchmark items with their state: kept where a document holds the whole of their normalised text as a word of its own, or rejected."""
+    texts = query_rows(spark, sf_dir).select(F.explode(F.array_distinct(F.split(F.lower("query"), " "))).alias("w")).distinct()
+    items = read(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_distinct(T.words(F.col("text")))).alias("w"))
+    known = items.join(texts, "w", "left_semi").groupBy("item_id").agg(F.count(F.lit(1)).alias("n_known"))
+    every = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_words"))
+    return every.join(known, "item_id", "left").select("item_id", "n_words", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.when(F.col("n_known") == F.col("n_words"), "kept").otherwise("rejected").alias("state"))
 
 
 def bucket_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +168,8 @@ def bucket_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def competition_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return planning.competition_sets(coords(spark, sf_dir))
+    told = F.when(F.col("owner_type").like("%#1%"), F.lit("described")).otherwise(F.lit(" "))
+    return planning.competition_sets(coords(spark, sf_dir).withColumn("owner_description", told))
 
 
 def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,8 +178,10 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = coords(spark, sf_dir)
-    place = F.when(F.col("tag") == "same_owner", 1).when(F.col("tag") == "same_field_name", 2).otherwise(3)
-    return planning.training_pairs(c, mining.confusers(c).withColumn("place", place))
+    place = F.when(F.col("tag") == "same_owner", 1).when(F.col("tag") == "same_field_name", 2).when(F.col("tag") == "same_return_type", 3).otherwise(4)
+    firsts = c.groupBy("world_id", F.col("coordinate").alias("negative")).agg(F.min("doc_id").alias("negative_id"))
+    ranked = c.select("doc_id", "world_id", "coordinate").join(mining.confusers(c), ["world_id", "coordinate"]).join(firsts, ["world_id", "negative"]).select("doc_id", place.alias("place"), F.col("negative_id").alias("negative"))
+    return planning.training_pairs(c, ranked)
 
 
 def two_encoders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,15 +224,15 @@ def valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = query_rows(spark, sf_dir).select("doc_id", "world", "query", F.element_at(F.array(*map(F.lit, ("easy", "medium", "hard", "odd"))), (F.col("doc_id") % 4 + 1).cast("int")).alias("difficulty"), F.element_at(F.array(*map(F.lit, ("lookup", "status", "other"))), (F.col("doc_id") % 3 + 1).cast("int")).alias("intent"))
     id_ = lambda n: F.concat(F.lit("c"), ((F.col("doc_id") * n) % 100).cast("string"))
     items = q.select("*", id_(1).alias("positive"), F.array(id_(3), id_(5)).alias("relevant"), F.array(id_(1), id_(7), id_(9)).alias("negative"))
-    known = q.filter("doc_id % 5 <> 0").select("world", F.concat(F.lit("c"), (F.col("doc_id") % 100).cast("string")).alias("coordinate")).distinct()
-    terms = q.filter("doc_id % 50 = 0").select("world", F.explode(F.slice(F.split("query", " "), 1, 3)).alias("term"))
+    known = q.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select("world", F.concat(F.lit("c"), (F.col("doc_id") % 100).cast("string")).alias("coordinate")).distinct()
+    terms = terms_of(spark, sf_dir)
     got = generation.valid_items(items, terms, known)
     return got.select("doc_id", "difficulty", "intent", F.array_join("relevant", ",").alias("relevant"), F.array_join("negative", ",").alias("negative"))
 
 
 QUERIES = {f.__name__: f for f in (retrieval_metrics, top_k_search, text_functions, coordinate_views, clear_queries, world_leakage, strict_leakage, ambiguous_names, sibling_counts, mined_confusers, tiered_negatives, margin_buckets, stratified_items, best_by_text, family_split, sanity_sample, slice_metrics, content_hash, stage_counts, best_epoch, curated_merge, bucket_vectors, competition_sets, batch_plan, training_pairs, rank_delta, base_and_tuned, field_intents, query_variants, template_queries, valid_items)}
 
-Q = r"""q AS (SELECT d.doc_id, array_to_string(list_slice(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\x0B]+'), lambda x: x <> ''), 1, 12), ' ') AS query, source AS world, lang AS intent, coalesce(quality::double, 0.5) AS quality
+Q = r"""q AS (SELECT d.doc_id, array_to_string(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\x0B]+'), lambda x: x <> ''), ' ') AS query, source AS world, lang AS intent, coalesce(quality::double, 0.5) AS quality
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 C = "c AS (SELECT p_partkey AS doc_id, p_brand AS owner_type, p_name AS field_name, p_type AS return_type, p_size % 10 AS world_id, p_brand || '.' || p_name AS coordinate FROM part)"
 SIM = """sims AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_dot_product(a.embedding::double[], b.embedding::double[]), 6) AS sim, a.label AS ql, b.label AS dl
@@ -229,21 +242,39 @@ NORM = r"trim(regexp_replace(lower(query), '\s+', ' ', 'g'))"
 CLEAR = f"(len(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) >= 4 AND NOT contains({NORM}, 'something') AND NOT contains({NORM}, 'anything') AND NOT contains({NORM}, 'whatever') AND NOT contains({NORM}, 'some data') AND NOT contains({NORM}, 'etc') AND world IS NOT NULL)"
 
 
+# fixed values, for the SQL alone: words that say nothing in world terms, and in the names of a target
+WORLD_TRIVIAL = """('id','name','type','value','data','item','list','count','total','date','time','user','post','order','cart','hotel','flight','trip','product','catalog','unit','text','body','record','mode','state','status','created','updated','amount','price','active','label','title','notes','start','email','phone','image','score','error','token','slug',
+'field','when','last','update','create','creation','unique','identifier','display','number','model','case','times','member','which','what','this','that','with','from','have','does','used','tell','show','give','find','look','help','need','want','know','there','here','some','only','also','more','most','many','each','been','info','read','like','make','take','come','work','year')"""
+ITEM_TRIVIAL = """('id','name','type','value','data','item','list','count','total','date','time','user','post','order','cart','hotel','flight','trip','product','catalog','unit','text','body','record','mode','state','status','created','updated','amount','price','active','label','title','notes','start','email','phone','image','score','error','token','slug',
+'field','when','last','update','create','creation','unique','identifier','display','number','model','case','times','member')"""
+NAME_TRIVIAL = "('id','name','type','value','data','item','list','count','total','date','time')"
+ENDINGS = ("ies", "ing", "ers", "ier", "ied", "ed", "es", "er", "ly", "s")
+
+
 def _stem(t: str) -> str:
-    return "CASE " + " ".join(f"WHEN length({t}) > {len(s) + 2} AND ends_with({t}, '{s}') THEN left({t}, length({t}) - {len(s)})" for s in T.SUFFIXES) + f" ELSE {t} END"
+    return "CASE " + " ".join(f"WHEN length({t}) > {len(s) + 2} AND ends_with({t}, '{s}') THEN left({t}, length({t}) - {len(s)})" for s in ENDINGS) + f" ELSE {t} END"
 
 
-SCORES = f"""{SIM}, hit AS (SELECT query_id AS item, doc_id, sim, doc_id % 3 = query_id % 3 AS h FROM ranked WHERE rank <= 6),
+TERMS = """w AS (SELECT DISTINCT source AS world FROM documents WHERE source IS NOT NULL), wn AS (SELECT world, row_number() OVER (ORDER BY world) - 1 AS place, count(*) OVER () + 3 AS n FROM w),
+b AS (SELECT item_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS term FROM benchmark), terms AS (SELECT DISTINCT coalesce(wn.world, 'elsewhere') AS world, term FROM (SELECT item_id % (SELECT count(*) + 3 FROM w) AS place, term FROM b WHERE length(term) >= 9) d LEFT JOIN wn USING (place))"""
+SCORES = f"""{SIM}, hit AS (SELECT query_id AS item, doc_id, sim, doc_id % 3 = query_id % 3 AS h FROM ranked),
 t AS (SELECT *, h AND doc_id = min(CASE WHEN h THEN doc_id END) OVER (PARTITION BY item) AS is_target, row_number() OVER (PARTITION BY item ORDER BY sim DESC, doc_id) AS rn FROM hit),
 g AS (SELECT item, count(*) AS n, min(CASE WHEN is_target THEN rn END) AS at_, max(CASE WHEN is_target THEN sim END) AS target, max(CASE WHEN rn = 1 THEN sim END) AS s1, max(CASE WHEN rn = 2 THEN sim END) AS s2 FROM t GROUP BY item),
 m AS (SELECT *, n >= 2 AND at_ IS NOT NULL AS valid, CASE WHEN at_ = 1 THEN target - s2 ELSE target - s1 END AS gap FROM g),
 b AS (SELECT item, CASE WHEN NOT valid THEN 'easy' WHEN at_ > 1 THEN 'hard' WHEN round(gap, 6) < 0.05 THEN 'medium' ELSE 'easy' END AS bucket, CASE WHEN valid THEN at_ = 1 END AS top1_correct, CASE WHEN valid THEN at_ - 1 END AS target_rank, CASE WHEN valid THEN round(gap, 6) END AS margin FROM m)"""
 
 
-def _confuser(tag: str, key: str, more: str = "") -> str:
-    return f"""SELECT c.doc_id, '{tag}' AS tag, arg_min(p.doc_id, md5(concat_ws('|', '7', c.doc_id, p.doc_id)) || lpad(p.doc_id::varchar, 12, '0')) AS negative
-FROM c JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY world_id, {key} ORDER BY md5(concat_ws('|', '7', '{tag}', doc_id)), doc_id) AS nth FROM c) WHERE nth <= 64) p
-ON c.world_id = p.world_id AND c.{key} = p.{key} AND c.coordinate <> p.coordinate {more} GROUP BY c.doc_id"""
+def _ring(source: str, group: str, item: str, seed: str) -> str:
+    return f"SELECT {group}, {item}, row_number() OVER (PARTITION BY {group} ORDER BY md5('{seed}|' || {item}), {item}) - 1 AS place, count(*) OVER (PARTITION BY {group}) AS n FROM (SELECT DISTINCT {group}, {item} FROM {source})"
+
+
+def _draw(seed: str, item: str) -> str:
+    return f"('0x' || substr(md5('{seed}|' || {item}), 1, 8))::bigint"
+
+
+def _confuser(tag: str, key: str) -> str:
+    ring = _ring("c", f"world_id, {key}", "coordinate", "7")
+    return f"""SELECT a.world_id, a.coordinate, '{tag}' AS tag, b.coordinate AS negative FROM ({ring}) a JOIN ({ring}) b ON a.world_id = b.world_id AND a.{key} = b.{key} AND b.place = (a.place + 1 + {_draw("7d", "a.coordinate")} % greatest(a.n - 1, 1)) % a.n WHERE a.n > 1"""
 
 
 ORACLES = {
@@ -260,19 +291,19 @@ FROM h GROUP BY GROUPING SETS ((label), ())""",
 'GraphQL field ' || coordinate || '. Owner type: ' || owner_type || '. Returns: ' || return_type || '. Arguments: names none; types none. Field description: No description provided. Owner description: No description provided. Aliases: ' || array_to_string(list_sort(list_distinct([replace(field_name, '_', ' '), lower(field_name)])), ', ') || '.' AS semantic,
 array_to_string(list_sort(list_distinct([lower(coordinate), lower(owner_type), lower(field_name), lower(return_type)])), ' | ') AS keywords FROM c""",
     "clear_queries": f"WITH {Q} SELECT doc_id, quality FROM q WHERE quality >= 0.25 AND {CLEAR}",
-    "world_leakage": f"""WITH {Q}, terms AS (SELECT DISTINCT world, lower(t) AS term FROM (SELECT world, unnest(list_slice(string_split(query, ' '), 1, 3)) AS t FROM q WHERE doc_id % 50 = 0) WHERE length(t) >= 4 AND lower(t) NOT IN {filters.TRIVIAL}),
-l AS (SELECT doc_id, world, CASE WHEN EXISTS (SELECT 1 FROM terms WHERE terms.world = q.world AND contains(lower(query), term)) THEN 1 ELSE 0 END AS leaked FROM q)
+    "world_leakage": f"""WITH {Q}, {TERMS}, k AS (SELECT DISTINCT world, lower(term) AS term FROM terms WHERE length(term) >= 4 AND lower(term) NOT IN {WORLD_TRIVIAL}), have AS (SELECT DISTINCT world FROM terms), qq AS (SELECT doc_id, query, coalesce(nullif(world, ''), 'unknown') AS world FROM q),
+l AS (SELECT world, CASE WHEN EXISTS (SELECT 1 FROM k WHERE (k.world = qq.world OR qq.world NOT IN (SELECT world FROM have)) AND contains(lower(query), term)) THEN 1 ELSE 0 END AS leaked FROM qq)
 SELECT world, count(*) AS n, sum(leaked)::bigint AS n_leaked FROM l GROUP BY world HAVING avg(leaked) <= 0.5""",
     "strict_leakage": f"""WITH {C}, s AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'show the ' || field_name || 's for me' ELSE 'what about ' || lower(return_type) END AS query,
 list_concat(string_split(lower(owner_type), '.'), string_split(lower(field_name), ' ')) AS names FROM c)
-SELECT doc_id, query FROM s WHERE NOT list_has_any(list_transform(list_filter(regexp_extract_all(lower(query), '[a-z0-9]+'), lambda x: length(x) >= 3), lambda t: {_stem("t")}), list_transform(list_filter(names, lambda x: length(x) >= 3 AND x NOT IN {filters.TRIVIAL}), lambda t: {_stem("t")}))""",
+SELECT doc_id, query FROM s WHERE NOT list_has_any(list_transform(list_filter(regexp_extract_all(lower(query), '[a-z0-9]+'), lambda x: length(x) >= 3), lambda t: {_stem("t")}), list_transform(list_filter(names, lambda x: length(x) >= 3 AND x NOT IN {NAME_TRIVIAL}), lambda t: {_stem("t")}))""",
     "ambiguous_names": f"WITH {C} SELECT lower(field_name) AS field_name, count(DISTINCT owner_type) AS owners FROM c WHERE lower(field_name) NOT IN ('id', 'createdat', 'updatedat', 'deletedat', 'publishedat', 'version', 'type') GROUP BY 1 HAVING count(DISTINCT owner_type) >= 2",
     "sibling_counts": f"""WITH {C}, d AS (SELECT DISTINCT world_id, owner_type, field_name, return_type FROM c)
 SELECT world_id, owner_type, field_name, return_type, (SELECT count(DISTINCT field_name) FROM d x WHERE x.world_id = d.world_id AND x.owner_type = d.owner_type AND x.field_name <> d.field_name) AS same_owner,
 (SELECT count(DISTINCT owner_type) FROM d x WHERE x.world_id = d.world_id AND x.field_name = d.field_name AND x.owner_type <> d.owner_type) AS same_name,
 (SELECT count(DISTINCT x.owner_type || '.' || x.field_name) FROM d x WHERE x.world_id = d.world_id AND x.return_type = d.return_type AND (x.owner_type <> d.owner_type OR x.field_name <> d.field_name)) AS same_type FROM d""",
-    "mined_confusers": f"WITH {C} " + " UNION ALL ".join(_confuser(*x) for x in (("same_owner", "owner_type"), ("same_field_name", "field_name", "AND c.owner_type <> p.owner_type"), ("same_return_type", "return_type"))),
-    "tiered_negatives": f"""WITH {SIM}, a AS (SELECT query_id, doc_id, rank, ql = dl AS so, query_id % 4 = doc_id % 4 AS sf FROM ranked WHERE rank <= 20),
+    "mined_confusers": f"WITH {C} " + " UNION ALL ".join(_confuser(*x) for x in (("same_owner", "owner_type"), ("same_field_name", "field_name"), ("same_return_type", "return_type"))),
+    "tiered_negatives": f"""WITH {SIM}, a AS (SELECT query_id, doc_id, rank, ql = dl AS so, query_id % 4 = doc_id % 4 AS sf FROM ranked),
 h AS (SELECT *, so AND sum(so::int) OVER (PARTITION BY query_id ORDER BY rank) <= 3 AS hard FROM a), m AS (SELECT *, NOT hard AND sf AND sum((NOT hard AND sf)::int) OVER (PARTITION BY query_id ORDER BY rank) <= 3 AS medium FROM h),
 e AS (SELECT *, NOT hard AND NOT medium AND sum((NOT hard AND NOT medium)::int) OVER (PARTITION BY query_id ORDER BY rank) <= 3 AS easy FROM m)
 SELECT query_id, doc_id, rank, CASE WHEN hard THEN 'hard' WHEN medium THEN 'medium' ELSE 'easy' END AS tier FROM e WHERE hard OR medium OR easy""",
@@ -286,22 +317,27 @@ SELECT world, CASE WHEN nth <= trunc(n * 0.8::double) THEN 'train' WHEN nth <= t
     "sanity_sample": f"WITH {Q} SELECT doc_id, world FROM q ORDER BY md5('12|' || doc_id), doc_id LIMIT 20",
     "slice_metrics": f"WITH {Q}, s AS (SELECT unnest(['intent:' || coalesce(intent, 'unknown'), 'source:' || coalesce(world, 'unknown')]) AS slice, quality FROM q) SELECT slice, count(*) AS n, round(avg(quality), 6) AS avg_quality FROM s GROUP BY slice",
     "content_hash": f"WITH {C} SELECT world_id, sha256(string_agg(coordinate, chr(10) ORDER BY doc_id)) AS digest FROM c GROUP BY world_id",
-    "stage_counts": f"WITH {Q} SELECT intent, count(*) AS raw, count(*) FILTER (quality >= 0.25) AS quality_ok, count(*) FILTER (quality >= 0.25 AND {CLEAR}) AS clear, count(*) FILTER (quality >= 0.25 AND {CLEAR} AND doc_id % 2 = 0) AS even FROM q GROUP BY intent",
+    "stage_counts": f"WITH {Q} SELECT intent, count(*) AS raw, count(*) FILTER (quality >= 0.25) AS quality_ok, count(*) FILTER (quality >= 0.25 AND {CLEAR}) AS clear, count(*) FILTER (quality >= 0.25 AND {CLEAR} AND nth = 1) AS deduped FROM (SELECT *, row_number() OVER (PARTITION BY quality >= 0.25 AND {CLEAR}, {NORM} ORDER BY quality DESC, doc_id) AS nth FROM q) q GROUP BY intent",
     "best_epoch": "WITH r AS (SELECT event_type AS suite, hour(ts) AS epoch, round(avg(value), 4) AS score FROM events GROUP BY 1, 2) SELECT suite, first(epoch ORDER BY score DESC, epoch) AS best_epoch, max(score) AS best_score FROM r GROUP BY suite",
-    "curated_merge": f"WITH {Q}, w AS (SELECT DISTINCT lower(string_split(query, ' ')[1]) AS w FROM q WHERE query <> '') SELECT item_id, CASE WHEN lower(string_split(text, ' ')[1]) IN (SELECT w FROM w) THEN 'kept' ELSE 'rejected' END AS state FROM benchmark",
+    "curated_merge": f"""WITH {Q}, w AS (SELECT DISTINCT unnest(string_split(lower(query), ' ')) AS w FROM q), i AS (SELECT DISTINCT item_id, unnest(list_filter(string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' '), lambda x: x <> '')) AS w FROM benchmark)
+SELECT item_id, count(*) AS n_words, count(w.w) AS n_known, CASE WHEN count(w.w) = count(*) THEN 'kept' ELSE 'rejected' END AS state FROM i LEFT JOIN w USING (w) GROUP BY item_id""",
     "bucket_vectors": f"WITH {Q}, t AS (SELECT doc_id, unnest(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) AS t FROM q), b AS (SELECT doc_id, ('0x' || substr(md5(t), 1, 8))::bigint % 512 AS b, count(*) AS c FROM t GROUP BY 1, 2) SELECT doc_id, count(*) AS entries, sum(c * c)::bigint AS norm2, sum(b * c)::bigint AS checksum FROM b GROUP BY doc_id",
 }
 
-ORACLES["competition_sets"] = f"""WITH {C}, n AS (SELECT *, lower(field_name) AS name FROM c), s AS (SELECT name FROM n WHERE name NOT IN {filters.GENERIC} GROUP BY name HAVING count(DISTINCT owner_type) >= 2),
-d AS (SELECT n.* FROM n JOIN s USING (name)), p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY world_id, name ORDER BY md5('3|' || doc_id), doc_id) AS nth FROM d) WHERE nth <= 6)
-SELECT d.doc_id, p.doc_id AS rival FROM d JOIN p ON d.world_id = p.world_id AND d.name = p.name AND d.coordinate <> p.coordinate"""
+ORACLES["competition_sets"] = f"""WITH {C}, s AS (SELECT lower(field_name) AS name FROM c WHERE lower(field_name) NOT IN ('id', 'createdat', 'updatedat', 'deletedat', 'publishedat', 'version', 'type') GROUP BY 1 HAVING count(DISTINCT owner_type) >= 2),
+d AS (SELECT DISTINCT world_id, lower(field_name) AS name, coordinate, owner_type LIKE '%#1%' AS told FROM c WHERE lower(field_name) IN (SELECT name FROM s)), r AS ({_ring("d", "world_id, name, told", "coordinate", "3")}),
+a AS (SELECT d.world_id, d.name, d.coordinate, m.told, m.n, coalesce(o.place, {_draw("3", "d.coordinate")} % m.n) AS at_ FROM d JOIN (SELECT DISTINCT world_id, name, told, n FROM r) m USING (world_id, name) LEFT JOIN r o ON o.world_id = d.world_id AND o.name = d.name AND o.told = m.told AND o.coordinate = d.coordinate),
+x AS (SELECT a.world_id, a.coordinate, a.told, step, r.coordinate AS rival FROM (SELECT *, unnest(range(0, least(6, n))) AS step FROM a) a JOIN r ON r.world_id = a.world_id AND r.name = a.name AND r.told = a.told AND r.place = (a.at_ + step) % a.n WHERE r.coordinate <> a.coordinate),
+y AS (SELECT *, row_number() OVER (PARTITION BY world_id, coordinate ORDER BY told DESC, step) AS place FROM x)
+SELECT world_id, coordinate, 0 AS place, coordinate AS rival FROM d UNION ALL SELECT world_id, coordinate, place, rival FROM y WHERE place <= 5"""
 ORACLES["batch_plan"] = f"""WITH {C}, t AS (SELECT world_id, doc_id, 1 + doc_id % 4 AS want, md5('5|' || doc_id) AS k FROM c),
 b AS (SELECT *, coalesce(sum(want) OVER (PARTITION BY world_id ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY world_id ORDER BY k, doc_id) - 1 AS batch_no FROM t)
 SELECT world_id, batch_no, doc_id, least(want, 40 - before)::bigint AS requested FROM b WHERE before < 40"""
-ORACLES["training_pairs"] = f"""WITH conf AS ({ORACLES["mined_confusers"]}), {C}, f AS (SELECT world_id, doc_id AS negative, row_number() OVER (PARTITION BY world_id ORDER BY md5('9|' || doc_id), doc_id) AS nth FROM c),
-e AS (SELECT doc_id, negative, CASE tag WHEN 'same_owner' THEN 1 WHEN 'same_field_name' THEN 2 ELSE 3 END AS place FROM conf UNION ALL SELECT c.doc_id, f.negative, 100 + f.nth FROM c JOIN f ON c.world_id = f.world_id AND f.nth <= 16 AND f.negative <> c.doc_id),
-m AS (SELECT doc_id, negative, min(place) AS place FROM e GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS nth FROM m)
-SELECT doc_id, max(CASE WHEN nth = 1 THEN negative END) AS negative_1, max(CASE WHEN nth = 2 THEN negative END) AS negative_2, max(CASE WHEN nth = 3 THEN negative END) AS negative_3 FROM r GROUP BY doc_id HAVING count(*) >= 3"""
+ORACLES["training_pairs"] = f"""WITH {C}, conf AS ({" UNION ALL ".join(_confuser(*x) for x in (("1", "owner_type"), ("2", "field_name"), ("3", "return_type")))}), firsts AS (SELECT world_id, coordinate, min(doc_id) AS id FROM c GROUP BY 1, 2),
+own AS (SELECT c.doc_id, tag::int AS place, f.id AS negative FROM c JOIN conf ON c.world_id = conf.world_id AND c.coordinate = conf.coordinate JOIN firsts f ON f.world_id = c.world_id AND f.coordinate = conf.negative WHERE f.id <> c.doc_id),
+r AS ({_ring("c", "world_id", "doc_id", "9")}), fill AS (SELECT a.doc_id, 10 + step AS place, b.doc_id AS negative FROM (SELECT *, unnest(range(1, 7)) AS step FROM r) a JOIN r b ON a.world_id = b.world_id AND b.place = (a.place + a.step) % a.n WHERE a.step < a.n),
+e AS (SELECT doc_id, negative, min(place) AS place FROM (SELECT * FROM own UNION ALL SELECT * FROM fill) GROUP BY 1, 2), m AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place, negative) AS nth FROM e)
+SELECT doc_id, max(CASE WHEN nth = 1 THEN negative END) AS negative_1, max(CASE WHEN nth = 2 THEN negative END) AS negative_2, max(CASE WHEN nth = 3 THEN negative END) AS negative_3 FROM m GROUP BY doc_id HAVING count(*) >= 3"""
 RANKS = """t AS (SELECT label, min(vec_id) AS target_id FROM embeddings GROUP BY label), a AS (SELECT q.vec_id, q.embedding::double[] AS e, x.embedding::double[] AS g FROM embeddings q JOIN t USING (label) JOIN embeddings x ON x.vec_id = t.target_id WHERE q.vec_id % 10 = 0 AND q.vec_id <> t.target_id),
 s AS (SELECT a.vec_id AS query_id, round(list_dot_product(e[1:32], d.embedding[1:32]::double[]), 6) > round(list_dot_product(e[1:32], g[1:32]), 6) AS b, round(list_dot_product(e, d.embedding::double[]), 6) > round(list_dot_product(e, g), 6) AS u FROM a JOIN embeddings d ON d.vec_id <> a.vec_id),
 r AS (SELECT query_id, count(*) FILTER (b) + 1 AS base_rank, count(*) FILTER (u) + 1 AS tuned_rank FROM s GROUP BY query_id)"""
@@ -317,16 +353,18 @@ ORACLES["base_and_tuned"] = f"WITH {RANKS}, m AS (" + " UNION ALL ".join(f"SELEC
 ORACLES["field_intents"] = f"""WITH {C}, f AS (SELECT doc_id, {list(FIELD_NAMES)}[doc_id % {len(FIELD_NAMES)} + 1] AS n, {list(FIELD_TYPES)}[doc_id % {len(FIELD_TYPES)} + 1] AS t FROM c), k AS (SELECT *, translate(t, '![]', '') AS kind FROM f)
 SELECT doc_id, CASE WHEN n = 'createdAt' OR kind IN ('DateTime', 'Date') THEN 'temporal' ELSE coalesce(nullif(concat_ws(',', CASE n WHEN 'author' THEN 'authorship' WHEN 'approvedBy' THEN 'authorship' WHEN 'status' THEN 'status' WHEN 'lastError' THEN 'troubleshooting' WHEN 'priceCents' THEN 'comparison' WHEN 'tags' THEN 'filtering' WHEN 'email' THEN 'lookup' END,
 CASE WHEN contains(t, '[') THEN 'list_vs_single' END, CASE WHEN kind IN ('Item', 'User') THEN 'root_vs_nested' END), ''), 'lookup') END AS intents FROM k"""
-_REWRITES = ", ".join(["s", *(rf"regexp_replace(s, '\b{a}\b', '{b}', 'gi')" for a, b in generation.SWAPS.items()), *(f"replace(s, '{a}', '{b}')" for a, b in generation.PHRASES.items())])
+# fixed values, for the SQL alone: words that rewrites swap
+_SWAPS = [("show", "list"), ("find", "locate"), ("fetch", "retrieve"), ("explain", "describe"), ("difference", "compare"), ("information", "info"), ("identifier", "id"), ("number", "num"), ("query", "qry")]
+_REWRITES = ", ".join(["s", *(rf"regexp_replace(s, '\b{a}\b', '{b}', 'gi')" for a, b in _SWAPS), "replace(s, 'graphql', 'gql')", "replace(s, 'how do i', 'how can i')"])
 ORACLES["query_variants"] = f"""WITH {Q}, s AS (SELECT doc_id, trim('Show the type of ' || query || ' number?') AS s FROM q), w AS (SELECT doc_id, s, unnest([{_REWRITES}]) AS w FROM s),
 v AS (SELECT DISTINCT doc_id, s, trim(unnest([trim(w), lower(trim(w)), replace(trim(w), '?', ''), replace(trim(w), '  ', ' '), replace(trim(w), 'type', 'typ')])) AS v FROM w),
 n AS (SELECT doc_id, v, row_number() OVER (PARTITION BY doc_id ORDER BY v <> s, v) - 1 AS place FROM v WHERE v <> '')
 SELECT doc_id, place, v AS variant, CASE WHEN place = 0 THEN 'bootstrap' ELSE 'deterministic-augment' END AS origin, CASE WHEN place = 0 THEN 0.85::double ELSE 0.65::double END AS quality_score FROM n WHERE place <= 6"""
 ORACLES["template_queries"] = f"WITH {C} SELECT doc_id, 'lookup' AS intent, 'what is ' || return_type AS query FROM c UNION ALL SELECT doc_id, 'lookup', 'show ' || return_type || ' of ' || owner_type FROM c UNION ALL SELECT doc_id, 'comparative', 'difference between ' || return_type || ' and ' || owner_type FROM c"
 ORACLES["valid_items"] = f"""WITH {Q}, i AS (SELECT doc_id, world, query, ['easy', 'medium', 'hard', 'odd'][doc_id % 4 + 1] AS difficulty, ['lookup', 'status', 'other'][doc_id % 3 + 1] AS intent, 'c' || doc_id % 100 AS positive FROM q),
-k AS (SELECT world, list(DISTINCT 'c' || doc_id % 100) AS known FROM q WHERE doc_id % 5 <> 0 GROUP BY world),
-t AS (SELECT DISTINCT world, lower(w) AS term FROM (SELECT world, unnest(list_slice(string_split(query, ' '), 1, 3)) AS w FROM q WHERE doc_id % 50 = 0) WHERE contains(w, '.') AND length(w) >= 5 OR length(w) >= 4 AND lower(w) NOT IN {filters.EVERYDAY}),
+k AS (SELECT world, list(DISTINCT 'c' || doc_id % 100) AS known FROM q WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY world),
+{TERMS}, t AS (SELECT DISTINCT world, lower(term) AS term FROM terms WHERE contains(term, '.') AND length(term) >= 5 OR length(term) >= 4 AND lower(term) NOT IN {ITEM_TRIVIAL}),
 g AS (SELECT i.*, known, list_filter(['c' || doc_id * 3 % 100, 'c' || doc_id * 5 % 100], lambda x: list_contains(known, x)) AS rel, list_filter(['c' || doc_id % 100, 'c' || doc_id * 7 % 100, 'c' || doc_id * 9 % 100], lambda x: list_contains(known, x) AND x <> positive) AS neg FROM i JOIN k ON i.world = k.world)
 SELECT doc_id, difficulty, intent, CASE WHEN len(rel) > 0 THEN array_to_string(rel, ',') ELSE positive END AS relevant, coalesce(array_to_string(neg, ','), '') AS negative FROM g
-WHERE difficulty <> 'odd' AND intent <> 'other' AND len(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) >= 3 AND NOT list_bool_or(list_transform({list(generation.SCHEMA_TALK)}, lambda w: contains(lower(query), w))) AND list_contains(known, positive)
+WHERE difficulty <> 'odd' AND intent <> 'other' AND len(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) >= 3 AND NOT list_bool_or(list_transform(['field', 'schema', 'coordinate', 'graphql', 'column', 'attribute', 'property', 'endpoint', 'parameter', 'which field', 'what field', 'same as the', 'is the same as'], lambda w: contains(lower(query), w))) AND list_contains(known, positive)
 AND NOT EXISTS (SELECT 1 FROM t WHERE t.world = g.world AND contains(lower(query), term))"""

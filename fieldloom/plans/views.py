@@ -58,3 +58,8 @@ def semantic(owner: Column, field: Column, returns: Column, description: Column,
 
 def keywords(*parts: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(F.array(*parts), lambda x: F.lower(x)), lambda x: x.isNotNull() & (x != "")))), " | ")
+
+
+def positive_texts(columns: dict[str, Column], names: list[str]) -> Column:
+    """The texts of the views asked for, in order, without blank ones. columns: view -> its text."""
+    return F.filter(F.array(*(F.trim(F.coalesce(columns[parse_views(n)[0]], F.lit(""))) for n in names)), lambda x: x != "")

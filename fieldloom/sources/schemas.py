@@ -188,3 +188,21 @@ def read_schemas(spark: SparkSession, glob: str) -> DataFrame:
                 yield pd.DataFrame([{"file": f, "world_id": world, **x} for x in rows], columns=["file", "world_id", *(c.split()[0] for c in ("type_id", "type_name", "type_kind", "description", "interfaces", "possible_types", "enum_values", "fields"))])
 
     return files.mapInPandas(run, f"file string, world_id string, {TYPE_SCHEMA}")
+
+
+# fixed values: names of files that tell a domain, the first that fits
+KNOWN_DOMAINS = ("ecommerce", "shop", "shopify", "stripe", "fintech", "github", "hotel", "travel", "healthcare", "support")
+
+
+def ingest_schemas(spark: SparkSession, glob: str, splits: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(types, worlds) of real schemas: read_schemas with domain and split, and a row a world with its number of types.
+
+    splits: a file's split by its name, else by its stem, else test.
+    """
+    from fieldloom.functions.text import domain_of
+
+    stem = F.regexp_extract("file", r"^(.*)\.[^.]*$", 1)
+    told = [F.when(F.col("file") == k, F.lit(v)) for k, v in (splits or {}).items()] + [F.when(stem == k, F.lit(v)) for k, v in (splits or {}).items()]
+    types = read_schemas(spark, glob).withColumn("domain", domain_of(stem, KNOWN_DOMAINS)).withColumn("split", F.coalesce(*told, F.lit("test")))
+    worlds = types.groupBy("file", "world_id", "domain", "split").agg(F.count_distinct("type_name").alias("type_count")).orderBy("file")
+    return types, worlds

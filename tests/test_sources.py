@@ -75,7 +75,7 @@ def test_jsonl(spark, tmp_path):
     assert [tuple(r) for r in tables.read_suites(spark, str(tmp_path), "q string").orderBy("q").collect()] == [("x", "a"), ("y", "a"), ("z", "b")]
     (tmp_path / "c.txt").write_text('# no\n\n{"q": "x"}\n{bad\n')
     good, bad = tables.read_tolerant(spark, str(tmp_path / "c.txt"), "q string")
-    assert [tuple(r) for r in good.collect()] == [("x",)] and [r.value for r in bad.collect()] == ["{bad"]
+    assert [tuple(r) for r in good.collect()] == [(3, "x")] and [tuple(r) for r in bad.collect()] == [(4, "{bad")]
     tables.write_dataset(spark.createDataFrame([("x", "val"), ("y", "test")], "q string, split string"), str(tmp_path / "d"))
     assert spark.read.parquet(str(tmp_path / "d")).filter("split = 'val'").count() == 1
     plan = spark.createDataFrame([("w", 0), ("w", 1)], "world_id string, batch int")

@@ -45,10 +45,11 @@ def test_query_variants(spark, late):
 
 def test_valid_items(spark, tmp_path):
     # difficulty, intent and positive of a row follow from its id: these pass all of their checks
-    good = [d for d in range(1, 100) if d % 4 != 3 and d % 3 != 2 and d % 5 != 0][:3]
+    good = [d for d in range(1, 100) if d % 4 != 3 and d % 3 != 2][:3]
     docs = [(good[0], f"{LONG} schema"), (good[1], f"{LONG} zebrafish"), (good[2], f"{LONG} plain"), (50, "zebrafish")]
     spark.createDataFrame([(d, t, "en", "s0") for d, t in docs], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(d, 1) for d in good], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, "a zebrafish")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert [r.doc_id for r in QUERIES["valid_items"](spark, str(tmp_path)).collect()] == [good[2]]
 
 
@@ -56,6 +57,7 @@ def test_world_leakage(spark, tmp_path):
     docs = [(50, "zebrafish", "en", "s0")] + [(i, f"{LONG} {'zebrafish' if i < 3 else 'plain'}", "en", "s0") for i in range(1, 4)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, "a zebrafish")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert QUERIES["world_leakage"](spark, str(tmp_path)).count() == 0  # 3 of 4 leak
 
 
