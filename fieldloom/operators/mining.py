@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from fieldloom.functions.text import choice_key, name_stem
 
 
-def tiered(ranked: DataFrame, k: int = 3) -> DataFrame:
+def tiered(ranked: DataFrame, k: int | dict[str, int] = 3) -> DataFrame:
     """ranked (query_id, doc_id, rank, same_owner, same_field) with its tier: hard, then medium, then easy, k each.
 
     A row goes to the first tier that it fits and that isn't full; what
     overflows falls to the next. Running counts over the ranking decide it.
     """
+    k = k if isinstance(k, dict) else dict.fromkeys(("hard", "medium", "easy"), k)
     up = Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    df = ranked.withColumn("h", F.sum(F.col("same_owner").cast("int")).over(up)).withColumn("tier", F.when(F.col("same_owner") & (F.col("h") <= k), "hard"))
-    df = df.withColumn("m", F.sum((F.col("tier").isNull() & F.col("same_field")).cast("int")).over(up)).withColumn("tier", F.coalesce("tier", F.when(F.col("same_field") & (F.col("m") <= k), F.lit("medium"))))
-    df = df.withColumn("e", F.sum(F.col("tier").isNull().cast("int")).over(up)).withColumn("tier", F.coalesce("tier", F.when(F.col("e") <= k, F.lit("easy"))))
+    df = ranked.withColumn("h", F.sum(F.col("same_owner").cast("int")).over(up)).withColumn("tier", F.when(F.col("same_owner") & (F.col("h") <= k["hard"]), "hard"))
+    df = df.withColumn("m", F.sum((F.col("tier").isNull() & F.col("same_field")).cast("int")).over(up)).withColumn("tier", F.coalesce("tier", F.when(F.col("same_field") & (F.col("m") <= k["medium"]), F.lit("medium"))))
+    df = df.withColumn("e", F.sum(F.col("tier").isNull().cast("int")).over(up)).withColumn("tier", F.coalesce("tier", F.when(F.col("e") <= k["easy"], F.lit("easy"))))
     return df.filter("tier is not null").select("query_id", "doc_id", "rank", "tier")
 
 

@@ -104,7 +104,7 @@ def corpus_texts(corpus: DataFrame, order: str = "doc_id") -> DataFrame:
 
 def read_runs(spark: SparkSession, folder: str) -> DataFrame:
     """(run, metric, base, tuned) of run folders that hold metrics_base.json and metrics_tuned.json; others are skipped."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "metrics_*.json").text(folder)
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "metrics_*.json").text(folder, wholetext=True)
     path = F.col("_metadata.file_path")
     df = df.select(F.regexp_extract(path, r"([^/]+)/metrics_(base|tuned)\.json$", 1).alias("run"), F.regexp_extract(path, r"metrics_(base|tuned)\.json$", 1).alias("side"), F.explode(F.from_json("value", "map<string,string>")).alias("metric", "value"))
     df = df.select("run", "side", "metric", F.expr("try_cast(value as double)").alias("n")).filter("side <> '' and n is not null")
