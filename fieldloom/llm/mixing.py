@@ -52,7 +52,7 @@ def bag_slots() -> dict:
 
     class Known(dict):
         def __missing__(self, word: str) -> int:
-            if len(self) > 1_000_000:
+            if len(self) > 250_000:
                 self.clear()
             self[word] = got = xxhash.xxh3_64_intdigest(word) % BAG
             return got

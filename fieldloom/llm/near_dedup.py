@@ -38,7 +38,7 @@ def shingler(k: int):
 
     class Words(dict):
         def __missing__(self, word: bytes) -> int:
-            if len(self) > 1_000_000:
+            if len(self) > 250_000:
                 self.clear()
             self[word] = got = xxhash.xxh3_64_intdigest(word)
             return got

@@ -59,7 +59,7 @@ class Model:
 
         class Known(dict):
             def __missing__(self, word: str) -> float:
-                if len(self) > 1_000_000:
+                if len(self) > 250_000:
                     self.clear()
                 self[word] = got = float(weights[features(word)].sum())
                 return got
