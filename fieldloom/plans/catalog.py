@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import text as T
 from fieldloom.operators import compare, filters, generation, mining, planning, retrieval, tables
-from fieldloom.plans import views
+from fieldloom.plans import studies, views
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,7 +131,7 @@ def sanity_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.sample(query_rows(spark, sf_dir).select("doc_id", "world"), "doc_id")
 
 
-def slice_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quality_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.slices(query_rows(spark, sf_dir), {"intent": "intent", "source": "world"}, ["quality"])
 
 
@@ -230,7 +230,7 @@ def valid_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "difficulty", "intent", F.array_join("relevant", ",").alias("relevant"), F.array_join("negative", ",").alias("negative"))
 
 
-QUERIES = {f.__name__: f for f in (retrieval_metrics, top_k_search, text_functions, coordinate_views, clear_queries, world_leakage, strict_leakage, ambiguous_names, sibling_counts, mined_confusers, tiered_negatives, margin_buckets, stratified_items, best_by_text, family_split, sanity_sample, slice_metrics, content_hash, stage_counts, best_epoch, curated_merge, bucket_vectors, competition_sets, batch_plan, training_pairs, rank_delta, base_and_tuned, field_intents, query_variants, template_queries, valid_items)}
+QUERIES = {f.__name__: f for f in (retrieval_metrics, top_k_search, text_functions, coordinate_views, clear_queries, world_leakage, strict_leakage, ambiguous_names, sibling_counts, mined_confusers, tiered_negatives, margin_buckets, stratified_items, best_by_text, family_split, sanity_sample, quality_slices, content_hash, stage_counts, best_epoch, curated_merge, bucket_vectors, competition_sets, batch_plan, training_pairs, rank_delta, base_and_tuned, field_intents, query_variants, template_queries, valid_items)}
 
 Q = r"""q AS (SELECT d.doc_id, array_to_string(list_filter(regexp_split_to_array(text, '[ \t\n\r\f\x0B]+'), lambda x: x <> ''), ' ') AS query, source AS world, lang AS intent, coalesce(quality::double, 0.5) AS quality
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -315,7 +315,7 @@ SELECT item, bucket FROM r JOIN f USING (bucket), tot WHERE total = 0 OR nth <=
     "family_split": f"""WITH {Q}, f AS (SELECT DISTINCT world FROM q), r AS (SELECT world, row_number() OVER (ORDER BY md5('11|' || world), world) AS nth, count(*) OVER () AS n FROM f)
 SELECT world, CASE WHEN nth <= trunc(n * 0.8::double) THEN 'train' WHEN nth <= trunc(n * 0.8::double) + trunc(n * 0.1::double) THEN 'val' ELSE 'test' END AS split FROM r""",
     "sanity_sample": f"WITH {Q} SELECT doc_id, world FROM q ORDER BY md5('12|' || doc_id), doc_id LIMIT 20",
-    "slice_metrics": f"WITH {Q}, s AS (SELECT unnest(['intent:' || coalesce(intent, 'unknown'), 'source:' || coalesce(world, 'unknown')]) AS slice, quality FROM q) SELECT slice, count(*) AS n, round(avg(quality), 6) AS avg_quality FROM s GROUP BY slice",
+    "quality_slices": f"WITH {Q}, s AS (SELECT unnest(['intent:' || coalesce(intent, 'unknown'), 'source:' || coalesce(world, 'unknown')]) AS slice, quality FROM q) SELECT slice, count(*) AS n, round(avg(quality), 6) AS avg_quality FROM s GROUP BY slice",
     "content_hash": f"WITH {C} SELECT world_id, sha256(string_agg(coordinate, chr(10) ORDER BY doc_id)) AS digest FROM c GROUP BY world_id",
     "stage_counts": f"WITH {Q} SELECT intent, count(*) AS raw, count(*) FILTER (quality >= 0.25) AS quality_ok, count(*) FILTER (quality >= 0.25 AND {CLEAR}) AS clear, count(*) FILTER (quality >= 0.25 AND {CLEAR} AND nth = 1) AS deduped FROM (SELECT *, row_number() OVER (PARTITION BY quality >= 0.25 AND {CLEAR}, {NORM} ORDER BY quality DESC, doc_id) AS nth FROM q) q GROUP BY intent",
     "best_epoch": "WITH r AS (SELECT event_type AS suite, hour(ts) AS epoch, round(avg(value), 4) AS score FROM events GROUP BY 1, 2) SELECT suite, first(epoch ORDER BY score DESC, epoch) AS best_epoch, max(score) AS best_score FROM r GROUP BY suite",
@@ -368,3 +368,9 @@ g AS (SELECT i.*, known, list_filter(['c' || doc_id * 3 % 100, 'c' || doc_id * 5
 SELECT doc_id, difficulty, intent, CASE WHEN len(rel) > 0 THEN array_to_string(rel, ',') ELSE positive END AS relevant, coalesce(array_to_string(neg, ','), '') AS negative FROM g
 WHERE difficulty <> 'odd' AND intent <> 'other' AND len(list_filter(string_split({NORM}, ' '), lambda x: x <> '')) >= 3 AND NOT list_bool_or(list_transform(['field', 'schema', 'coordinate', 'graphql', 'column', 'attribute', 'property', 'endpoint', 'parameter', 'which field', 'what field', 'same as the', 'is the same as'], lambda w: contains(lower(query), w))) AND list_contains(known, positive)
 AND NOT EXISTS (SELECT 1 FROM t WHERE t.world = g.world AND contains(lower(query), term))"""
+ORACLES["stratified_worlds"] = f"""WITH {SCORES}, i AS (SELECT vec_id AS item, (label % 2)::varchar AS world_id FROM embeddings WHERE vec_id % 10 = 0), x AS (SELECT i.item, world_id, coalesce(bucket, 'easy') AS bucket FROM i LEFT JOIN b ON i.item = b.item),
+f AS (SELECT * FROM (VALUES ('hard', 0.55::double), ('medium', 0.3::double), ('easy', 0.15::double)) v(bucket, share)), n AS (SELECT world_id, bucket, count(*) AS k FROM x GROUP BY 1, 2), tot AS (SELECT world_id, min(floor(k / share)) AS total FROM n JOIN f USING (bucket) GROUP BY 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY world_id, bucket ORDER BY item) AS nth FROM x) SELECT r.item, r.world_id, r.bucket, CASE WHEN r.bucket = 'hard' THEN w.doc_id END AS base_wrong FROM r JOIN f USING (bucket) JOIN tot USING (world_id) LEFT JOIN (SELECT query_id, doc_id FROM ranked WHERE rank = 1) w ON w.query_id = r.item WHERE total = 0 OR nth <= round_even(total * share, 0)"""
+
+QUERIES |= studies.QUERIES
+ORACLES |= studies.ORACLES
