@@ -101,7 +101,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("h"), "text")
 
 
-def anchors(keyed: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+def anchors(keyed: DataFrame, size: int = SIZE, gram: int = GRAM, chunk: int = CHUNK) -> DataFrame:
     """(did, h, lo, hi, at, key, f1, f2) of every stretch; very long texts go in chunks, each window in one."""
 
     def make():
@@ -116,8 +116,8 @@ def anchors(keyed: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
                 for i, value in enumerate(part.column(2)):
                     raw = value.as_py().encode()
                     data = np.frombuffer(raw, np.uint8)
-                    for c in range(0, max(1, len(raw) - size + 1), CHUNK):
-                        lo, hi, place, g = stretches(data[c : c + CHUNK + size - 1], prefix, size, gram)
+                    for c in range(0, max(1, len(raw) - size + 1), chunk):
+                        lo, hi, place, g = stretches(data[c : c + chunk + size - 1], prefix, size, gram)
                         lo, hi, place = lo + c, hi + c, place + c
                         which.append(np.full(len(lo), i))
                         for column, v in zip(found, (lo, hi, place, g), strict=True):
@@ -369,7 +369,7 @@ def _cut(size: int):
     return per_batch(make)
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: int = MOST) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: int = MOST, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text of every row.
 
     Null text is empty; texts under ``size`` bytes stay whole. Rows that repeat
@@ -379,7 +379,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: in
     themselves. An empty table gives no rows. Other columns are not read.
     """
     keyed = _keyed(docs)
-    found = materialize(anchors(keyed, size, gram), "anchors").withColumn("single", F.lit(True))
+    found = materialize(anchors(keyed, size, gram, chunk), "anchors").withColumn("single", F.lit(True))
     whole, rest = _settle(found, most)
     judged = whole.select(*ROW, "lo", "hi", F.lit(True).alias("is_whole"), *(F.lit(None).cast(t).alias(c) for c, t in (("at", "int"), ("key", "long"), ("single", "boolean"), ("crowded", "boolean")))).unionByName(rest.withColumn("is_whole", F.lit(False)))
     gather = lambda c, *names: F.collect_list(F.when(c, F.struct(*names)))

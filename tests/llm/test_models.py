@@ -129,6 +129,17 @@ def test_repeats_small_alphabet(spark, most):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows, 40, 20, most=most)
 
 
+@pytest.mark.parametrize("chunk", [37, 500])
+def test_repeats_in_chunks(spark, chunk):
+    """Texts longer than a chunk: each window is in one, and stretches cut at a chunk's end still meet."""
+    import random
+
+    rnd = random.Random(5)
+    part = ["".join(rnd.choice("abcdefgh") for _ in range(300)) for _ in range(4)]
+    rows = [(1, part[0] + part[1] + part[2]), (2, part[3] + part[1] + part[0]), (3, part[2][:60] + part[2][:60]), (4, part[1][5:44])]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 40, 20, chunk=chunk)
+
+
 def test_repeats_rows_that_repeat_an_id(spark):
     text, other = "abcdefghij" * 9, "0123456789" * 7
     rows = [(1, text), (1, text), (1, other), (2, other), (None, text[:50]), (None, None), (3, "q" * 39)]
@@ -158,6 +169,34 @@ def test_stretches_cover_all_windows():
     assert [s for a, b in zip(lo, hi, strict=True) for s in range(a, b + 1)] == list(range(5000 - 399))
 
 
+@pytest.mark.parametrize("rows", ["empty", "awkward"])
+def test_pipeline_stages_on_awkward_rows(spark, small, rows):
+    """No rows; null ids and texts, an id with several texts, equal rows, names that clash with the operators' own."""
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(90))
+    near = text.replace("w89", "z")
+    data = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, "x y", "en", None, 1), (2, near, "de", "s", 1), (3, None, None, None, None), (None, "own words here", "en", "s", 1), (None, "own  words here", "en", "s", 1), (None, None, None, None, None)]
+    left = spark.createDataFrame(data if rows == "awkward" else [], "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'c' as copies", "'k' as kept", "1 as node", "2 as did")
+    columns = left.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, small)
+        assert left.columns == columns, name
+        left = spark.createDataFrame(left.collect(), left.schema)
+        if name == "near_dedup" and rows == "awkward":
+            assert sorted((r.doc_id or 0, (r.text or "").replace("  ", " ")) for r in left.collect()) == sorted([(1, text), (2, "x y"), (3, ""), (0, "own words here")])
+    packed = corpus_pipeline.STAGES[-1][1](spark, left, small)
+    assert packed.count() == left.count()
+
+
+def test_toxicity_of_rows_that_repeat_an_id(spark, docs, labels):
+    bad = spark.createDataFrame([(5, "a fine day"), (5, "you idiot, you moron, you worthless scum."), (None, None), (None, "a fine day")], "doc_id long, text string")
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels, "toxic"))
+    got = toxicity.score_documents(bad, model).collect()
+    assert sorted((r.doc_id or 0, r.predicted) for r in got) == [(0, 0), (0, 0), (5, 0), (5, 1)]
+    assert all(r.score < 1e-3 for r in got if r.doc_id is None)
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 

@@ -55,3 +55,17 @@ def test_components(spark):
         parent[max(a, b)] = min(a, b)
     got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {n: find(n) for n in parent if find(n) != n}
+
+
+def test_texts_longer_than_a_chunk(spark):
+    """Forty thousand words, with a tenth changed and with a half; and rows that repeat an id."""
+    rnd = random.Random(8)
+    words = [f"w{rnd.randrange(9000)}" for _ in range(40_000)]
+    near, far = list(words), list(words)
+    for i in range(0, 400, 4):
+        near[i * 100] = "x"
+    for i in range(0, 40_000, 5):
+        far[i] = "y"
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(words[:100]))]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert brute.near(rows)[2][1] == 1 and brute.near(rows)[3][1] == 3

@@ -61,6 +61,33 @@ def test_quality_hash_collisions(spark, monkeypatch):
     assert got == {d: brute.counts(t)[4] for d, t in rows}
 
 
+def test_quality_of_texts_beyond_the_places(spark, monkeypatch):
+    """Texts of more words than the packed places can hold give the same counts."""
+    from fieldloom.llm import quality
+
+    monkeypatch.setattr(quality, "POS_BITS", 4)  # sixteen words and more are beyond it
+    rows = [(1, " ".join(f"w{i % 37}" for i in range(120))), (2, "a b c a b c"), (2, " ".join(f"v{i}" for i in range(60))), (None, None)]
+    df = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    got = sorted((r.doc_id or 0, r.n_words, r.n_repeat_words) for r in quality.text_counts(df).collect())
+    assert got == sorted((d or 0, brute.counts(t)[0], brute.counts(t)[4]) for d, t in rows)
+
+
+def test_rows_that_repeat_an_id(spark):
+    """op3, op4, op5, op6, op9: every row is judged by its own text."""
+    rows = [(1, "password=hunter22 here"), (1, "plain words"), (1, "plain  words"), (None, None), (None, "plain words")]
+    df = spark.createDataFrame([(*r, None, None) for r in rows], "doc_id long, text string, lang string, source string")
+    assert sorted(r.n_words for r in quality_rules(df).collect()) == [0, 2, 2, 2, 2]
+    assert sorted((r.doc_id or 0, r.length) for r in pack(df).collect())[0] == (0, 1) and pack(df).count() == 5
+    got = exact_duplicates(df).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in got) == [(0, 0, 1, True), (0, 1, 3, False), (1, 1, 1, True), (1, 1, 3, True), (1, 1, 3, True)]
+    assert sorted((r.doc_id or 0, len(r.spans)) for r in scan_secrets(df).collect()) == [(0, 0), (0, 0), (1, 0), (1, 0), (1, 1)]
+
+
+def test_chat_of_no_rows(spark):
+    df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert read_windows(format_windows(df)).count() == 0
+
+
 def test_urls(spark, small):
     rows = [(r.page_id, r.url) for r in spark.read.parquet(f"{small}/pages.parquet").collect()]
     odd = [None, "", "no scheme", "http://", "HTTP://WWW.Example.ORG/es/x?y#z", "http://example.org/en/1", "http://xexample.org/en/1", "http://a.com/b.org/", "http://org", "http://org/", "http://x.com?u=/fr/", "http://x.com/fr/#/de/", "a://b://c.org/es/", "http://ÉX.org/", "http://spam-farm.example.net/x"]
