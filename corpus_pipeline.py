@@ -1,7 +1,9 @@
 """The corpus pipeline: toxicity, exact and near duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before
-kept; every stage but the last returns the columns of documents.
+kept; every stage but the last returns the columns of documents, whatever more
+there are. Rows are judged one by one, by their own texts: ids may be null or
+repeat. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -17,22 +19,27 @@ from fieldloom.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows called toxic go; null and empty texts stay."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal but for white space the row of the least id stays, nulls last, and one of equal rows; null is empty."""
     return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of texts at 0.8 or more by five-word shingles one row stays, as above; texts without words stay."""
     return drop_near_duplicates(docs, k=5, share=80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the rates say that bring the expected tokens of the quality domains to their targets; null and empty texts have no tokens and a rate all the same."""
     return mix_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows with their places in sequences; a null or empty text is its end id."""
     return pack(docs)
 
 
