@@ -280,3 +280,65 @@ def test_dataset_build(spark, made):
 def test_warnings(spark):
     stages = spark.createDataFrame([("train", 100, 10), ("val", 10, 10)], "split string, pre_filter long, final long")
     assert sorted(r.warning for r in dataset.warnings(stages, 0.6).collect()) == ["60% of the rows are from the local fallback", "Aggressive filtering on split 'train': 10/100 rows survived (<20%)"]
+
+
+def test_small_parts(spark):
+    """View names, split routes, competitor texts, rivals, examples, background, ordered distinct."""
+    from fieldloom.operators.generation import competitor_text
+
+    assert views.parse_views("SDL, typename,sdl,,field_paths") == ["sdl", "coordinate", "signature"] and views.parse_views("") == ["semantic"]
+    with pytest.raises(ValueError, match="unknown view"):
+        views.parse_views("other")
+    routes = [(None, None), ("VAL", "test"), ("", "Test"), ("odd", "val")]
+    assert [one(spark, tables.route_split(F.lit(a).cast("string"), F.lit(b).cast("string")))[0] for a, b in routes] == ["train", "val", "test", "train"]
+    long = "w" * 138 + " tail of it"
+    said = one(spark, competitor_text(F.lit("A.b"), F.lit(long), F.lit("d")), competitor_text(F.lit("A.b"), F.lit(" "), F.lit("d")), competitor_text(F.lit("A.b"), F.lit(None).cast("string"), F.lit("")))
+    assert said == ("A.b: " + "w" * 138 + "…", "A.b: d", "A.b")
+    scored = spark.createDataFrame([(1, f"A.f{i}", 1 - i / 10, i == 9) for i in range(10)], "query_id int, coordinate string, sim double, is_target boolean")
+    assert [(r.coordinate, r.place) for r in evaluation.close_rivals(scored, 3).orderBy("place").collect()] == [("A.f0", 1), ("A.f1", 2), ("A.f2", 3), ("A.f9", 10)]
+    deltas = spark.createDataFrame([(1, 5, 2, "Thing"), (2, -9, 2, "Thing"), (3, 1, 7, "Odd"), (4, 1, 1, "Odd")], "query_id int, delta int, siblings int, owner string")
+    assert [r.query_id for r in evaluation.ranked_examples(deltas, filters.is_friendly(F.col("owner"), ("thing",))).collect()] == [2, 1, 3, 4]
+    coords = spark.createDataFrame([(f"A{i}.x",) for i in range(5)] + [(f"A{i}.y",) for i in range(300)], "coordinate string")
+    some = [r.coordinate for r in evaluation.background(coords, "A0.X").collect()]
+    assert len(some) == len(set(some)) == 200 and all(c.endswith(".y") for c in some)
+    assert one(spark, evaluation.relevant_of(F.lit("b"), F.array(*map(F.lit, ("a", "b", "", "a", "c"))))) == (["b", "a", "c"],)
+
+
+def test_semantic_dedupe_against_a_greedy_walk(spark):
+    """Families capped by a greedy walk, then all survivors, against plain Python on hashed counts."""
+    import hashlib
+    import random
+
+    from fieldloom.operators.dedupe import semantic_dedupe
+
+    rnd = random.Random(4)
+    base = [[f"t{rnd.randrange(60)}" for _ in range(12)] for _ in range(12)]
+    rows = []
+    for i in range(160):
+        words = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 0, 1, 2, 4])):
+            words[rnd.randrange(12)] = f"t{rnd.randrange(60)}"
+        rows.append((i, " ".join(words) if i % 40 else "", f"f{rnd.randrange(14)}" if i % 11 else None))
+
+    def vector(text):
+        v = np.zeros(512)
+        for t in text.lower().split():
+            v[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 512] += 1
+        return (v / (np.linalg.norm(v) + 1e-9)).astype(np.float32).astype(float)
+
+    vec = {i: vector(t) for i, t, _ in rows}
+
+    def walk(ids, most=None):
+        out = []
+        for i in ids:
+            if (most is None or len(out) < most) and all(vec[i] @ vec[j] < 0.9 for j in out):
+                out.append(i)
+        return out
+
+    by = {}
+    for i, _, f in rows:
+        by.setdefault(f or "", []).append(i)
+    left = sorted(x for ids in by.values() for x in (ids if len(ids) <= 4 else walk(ids, 4)))
+    want = walk(left)
+    got = semantic_dedupe(spark.createDataFrame(rows, "k long, text string, family string").repartition(5), "k", "text", "family", 0.9)
+    assert sorted(r.k for r in got.collect()) == want and len(want) < len(left) < 160

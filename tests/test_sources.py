@@ -92,3 +92,12 @@ def test_stream(spark, tmp_path):
     (tmp_path / "in" / "2.jsonl").write_text('{"world_id": "w", "batch": 1, "requested": 2, "taken_items": 2, "at": "2026-01-01T00:01:00Z"}\n{"world_id": "v", "batch": 0, "requested": 1, "taken_items": 1, "at": "2026-01-01T00:02:00Z"}\n')
     append_batches(spark, *where).awaitTermination()
     assert sorted((r.world_id, r.batch) for r in spark.read.parquet(where[1]).collect()) == [("v", 0), ("w", 0), ("w", 1)]
+    from fieldloom.streaming.batches import finish
+
+    plan = spark.createDataFrame([("w", 0), ("w", 2)], "world_id string, batch int")
+    assert not finish(spark, plan, where[1]) and spark.read.parquet(where[1]).count() == 3
+    assert finish(spark, plan.filter("batch = 0"), where[1]) and not (tmp_path / "out").exists()
+    (tmp_path / "log.jsonl").write_text('{"_world_id": "w", "batch": 1, "source": "mock"}\n\n{"_world_id": "w"}\n{"torn')
+    from fieldloom.operators.seeds import read_checkpoint
+
+    assert [(r._world_id, r.batch, r.source) for r in read_checkpoint(spark, str(tmp_path / "log.jsonl")).collect()] == [("w", 1, "mock")]
