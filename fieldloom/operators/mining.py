@@ -101,13 +101,19 @@ POOLS = ("name_similarity", "structural", "lexical", "argument-shape", "semantic
 
 
 def mined_pools(coords: DataFrame, seed: str = "7") -> DataFrame:
-    """(world_id, coordinate, place, tag, negative): one negative of each pool that has any, in the order of POOLS."""
-    near = name_siblings(coords)
-    by_name = coords.select("world_id", "field_name", "coordinate").distinct()
-    pairs = by_name.join(near, ["world_id", "field_name"]).join(by_name.select("world_id", F.col("field_name").alias("other"), F.col("coordinate").alias("negative")), ["world_id", "other"]).filter("coordinate <> negative").select("world_id", "coordinate", "negative")
+    """(world_id, coordinate, place, tag, negative): one negative of each pool that has any, in the order of POOLS, drawn by hash."""
+    numbered = ring(coords.filter("field_name is not null"), ["world_id", "field_name"], "coordinate", seed)
+    sizes = numbered.groupBy("world_id", F.col("field_name").alias("other")).agg(F.max("n").alias("m"))
+    # a sibling name is drawn, then one of its coordinates by its number: the work grows with the names, not with pairs of rows
+    near = name_siblings(coords).join(sizes, ["world_id", "other"]).filter("other <> field_name or m > 1").groupBy("world_id", "field_name").agg(F.array_sort(F.collect_list(F.struct("other", "m"))).alias("names"))
+    asked = numbered.join(near, ["world_id", "field_name"])
+    asked = asked.withColumn("to", F.get("names", F.pmod(_draw(seed + "n", F.col("coordinate")), F.size("names")).cast("int"))).withColumn("draw", _draw(seed + "c", F.col("coordinate")))
+    own = F.col("to.other") == F.col("field_name")
+    to = F.when(own, F.pmod(F.col("place") + 1 + F.pmod("draw", F.greatest(F.col("n") - 1, F.lit(1))), F.col("n"))).otherwise(F.pmod("draw", F.col("to.m")))
+    similar = asked.select("world_id", "coordinate", F.col("to.other").alias("field_name"), to.alias("place")).join(numbered.select("world_id", "field_name", "place", F.col("coordinate").alias("negative")), ["world_id", "field_name", "place"]).select("world_id", "coordinate", "negative", F.lit("name_similarity").alias("tag"))
     pick = lambda df, tag: df.groupBy("world_id", "coordinate").agg(F.min_by("negative", F.struct(choice_key(seed, F.col("coordinate"), F.col("negative")), F.col("negative"))).alias("negative")).withColumn("tag", F.lit(tag))
     keyed = confusers(coords, seed, (("structural", "owner_type"), ("lexical", "field_name"), ("argument-shape", "return_type"))).filter("tag <> 'semantic'")
-    out = pick(pairs, "name_similarity").unionByName(keyed).unionByName(pick(alias_siblings(coords), "semantic"))
+    out = similar.unionByName(keyed).unionByName(pick(alias_siblings(coords), "semantic"))
     return out.select("world_id", "coordinate", F.array_position(F.array(*map(F.lit, POOLS)), F.col("tag")).cast("int").alias("place"), "tag", "negative")
 
 
