@@ -115,7 +115,7 @@ def keep_one(docs: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
     key = ["did", "h", "b"]
     me = F.struct(*key)
     multi = classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("best")).filter("n > 1")
-    met = attach(classes, materialize(multi, "multiple"), keys, "n", how="inner")
+    met = attach(classes, multi, keys, "n", how="inner")
     met = met.groupBy(*key).agg(F.max(me == F.col("best")).alias("wins"), F.count(F.lit(1)).alias("copies"))
     met = materialize(met, "told-rows").select(*(F.col(c).alias(f"_fl_{c}") for c in (*key, "wins", "copies")))
     keys = [f"_fl_{c}" for c in key]
