@@ -11,6 +11,7 @@ without punctuation stay a set of instances.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -86,24 +87,30 @@ def above_background(z: np.ndarray, bias: float) -> float:
 def fit(rows: list[tuple[str, int, float]], epochs: int = 200, rate: float = 0.15, l1: float = 1e-4) -> Model:
     """rows: text, label, weight. Without rows of both labels the model calls nothing toxic."""
     ids: dict[str, int] = {}
-    word_of, sent_at, doc_at, seen = [], [], [], {}
+    word_of, sent_at, doc_at, seen = (array("q") for _ in range(4))
     at = n_sent = 0
     for d, (text, _, _) in enumerate(rows):
         words, starts = sentences(TOKEN.findall(text.lower()))
         doc_at.append(n_sent)
-        sent_at += [at + s for s in starts] or [at]
+        sent_at.extend([at + s for s in starts] or [at])
         n_sent += len(starts) or 1
         words = words or [""]
         got = [ids.setdefault(w, len(ids)) for w in words]
-        word_of += got
+        word_of.extend(got)
         at += len(got)
+        seen.extend([0] * (len(ids) - len(seen)))
         for w in set(got):
-            seen[w] = seen.get(w, 0) + 1
+            seen[w] += 1
     y = np.array([r[1] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return Model(-20.0, np.zeros(SIZE, np.float32))
-    pairs = [(i, f, seen[i]) for w, i in ids.items() if w for f in features(w)]
-    vi, vf, n = (np.array(c, np.int64) for c in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
+    flat, per_word = array("q"), array("q")
+    for w in ids:
+        own = features(w) if w else []
+        flat.extend(own)
+        per_word.append(len(own))
+    vi, vf = np.repeat(np.arange(len(ids)), np.array(per_word)), np.array(flat)
+    n = np.array(seen)[vi]
     common = np.bincount(vf, n, SIZE) >= LEAST_DOCS
     vi, vf = vi[common[vf]], vf[common[vf]]
     used, vf = np.unique(vf, return_inverse=True)
