@@ -22,6 +22,29 @@ def tiered(ranked: DataFrame, k: int | dict[str, int] = 3) -> DataFrame:
     return df.filter("tier is not null").select("query_id", "doc_id", "rank", "tier")
 
 
+#: First characters of the hash that part a group in ``before``.
+HEAD = 2
+
+
+def before(rows: DataFrame, group: list[str], key: Column, tie: str, sums: dict[str, Column]) -> DataFrame:
+    """rows with the sum of each amount over the rows before it in its group, by ``key`` (a hash in hex) and ``tie``, and ``{name}_all``, that over the whole group.
+
+    A group is summed in parts, by the head of the hash, and each part starts at
+    the sum of the parts before it: a group with a third of all rows is spread
+    over 16**HEAD sorts, and one window sees at most so many rows of a group.
+    Rows with a null in ``group`` have no group and go.
+    """
+    rows = rows.withColumn("_key", key).withColumn("_head", F.substring("_key", 1, HEAD))
+    whole, within = Window.partitionBy(*group), Window.partitionBy(*group, "_head").orderBy("_key", tie).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = whole.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    parts = rows.groupBy(*group, "_head").agg(*(F.sum(amount).alias(f"_s_{name}") for name, amount in sums.items()))
+    parts = parts.select(*group, "_head", *(F.coalesce(F.sum(f"_s_{x}").over(earlier), none).alias(f"_b_{x}") for x in sums), *(F.coalesce(F.sum(f"_s_{x}").over(whole), none).alias(f"{x}_all") for x in sums))
+    own = rows.select("*", *(F.coalesce(F.sum(amount).over(within), none).alias(f"_w_{name}") for name, amount in sums.items()))
+    met = own.join(parts, [*group, "_head"])
+    return met.select(*(c for c in rows.columns if c not in ("_key", "_head")), *((F.col(f"_w_{x}") + F.col(f"_b_{x}")).alias(x) for x in sums), *(f"{x}_all" for x in sums))
+
+
 def ring(rows: DataFrame, group: list[str], item: str, seed: str) -> DataFrame:
     """(group, item, place, n): the distinct items of each group, numbered from 0 in hashed order.
 
@@ -29,9 +52,7 @@ def ring(rows: DataFrame, group: list[str], item: str, seed: str) -> DataFrame:
     with itself.
     """
     one = rows.select(*group, item).distinct()
-    order = Window.partitionBy(*group).orderBy(choice_key(seed, F.col(item)), item)
-    sizes = one.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return one.withColumn("place", F.row_number().over(order) - 1).join(sizes, group)
+    return before(one, group, choice_key(seed, F.col(item)), item, {"place": F.lit(1)}).withColumnRenamed("place_all", "n")
 
 
 def _draw(seed: str, *cols: Column) -> Column:

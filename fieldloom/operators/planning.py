@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.text import choice_key
 from fieldloom.operators.filters import ambiguous_names
-from fieldloom.operators.mining import ring
+from fieldloom.operators.mining import before, ring
 
 
 def competition_sets(coords: DataFrame, cap: int = 6, seed: str = "3") -> DataFrame:
@@ -46,12 +46,15 @@ def batch_plan(targets: DataFrame, budget: int, world: str = "world_id", key: st
     """(world, batch_no, key, requested): targets in hashed order until the world's budget is used up; the last gets what is left.
 
     boost: a source's factor on the budget (column ``source``), as for real
-    worlds. A world's targets are one window: a schema's fields bound them.
+    worlds. Null worlds are one world. A world's running sum is taken in parts;
+    the targets left, each of which asks for one item or more, are at most its
+    budget.
     """
-    order = Window.partitionBy(world).orderBy(choice_key(seed, F.col(key)), key)
+    drawn = choice_key(seed, F.col(key))
     times = F.coalesce(*(F.when(F.col("source") == s, F.lit(n)) for s, n in boost.items()), F.lit(1)) if boost else F.lit(1)
-    df = targets.withColumn("_budget", F.lit(budget) * times).withColumn("_before", F.coalesce(F.sum(want).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    df = df.filter(F.col("_before") < F.col("_budget")).withColumn("batch_no", F.row_number().over(order) - 1)
+    # a struct is not null where its field is, and equal to its like
+    df = before(targets.withColumn("_budget", F.lit(budget) * times).withColumn("_world", F.struct(world)), ["_world"], drawn, key, {"_before": F.col(want)})
+    df = df.filter(F.col("_before") < F.col("_budget")).withColumn("batch_no", F.row_number().over(Window.partitionBy(world).orderBy(drawn, key)) - 1)
     return df.select(world, "batch_no", key, F.least(F.col(want), F.col("_budget") - F.col("_before")).alias("requested"))
 
 

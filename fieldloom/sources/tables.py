@@ -48,9 +48,9 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
 
 
 def read_split(spark: SparkSession, path: str, schema: str, split: str | None = None) -> DataFrame:
-    """Typed rows of a dataset in JSON lines, of one split where that is given."""
+    """Typed rows of a dataset in JSON lines, of one split where that is given and not empty."""
     df = read_jsonl(spark, path, schema)
-    return df if split is None else df.filter(F.col("split") == split)
+    return df if not split else df.filter(F.col("split") == split)
 
 
 def read_settings(path: str | None) -> dict:

@@ -1,5 +1,9 @@
+import hashlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+from fieldloom.functions.text import choice_key
 from fieldloom.operators import mining, planning
 
 COORDS = "world_id string, owner_type string, field_name string, return_type string, coordinate string, aliases array<string>"
@@ -111,3 +115,32 @@ def test_stratified_groups(spark):
     assert all((r.base_wrong == 1) == (r.bucket == "hard") for r in got)
     counts = {r.bucket: r.n for r in mining.bucket_counts(spark.createDataFrame([("hard",)], "bucket string")).collect()}
     assert counts == {"hard": 1, "medium": 0, "easy": 0}
+
+
+def test_running_sums_of_a_hot_group(spark):
+    """A group far larger than the others, null groups, null amounts and equal keys: the sums of a plain loop."""
+    rows = [(i, "hot" if i < 3000 else None if i < 3010 else f"g{i % 7}", None if i % 11 == 0 else i % 4) for i in range(3100)]
+    key = lambda i: hashlib.md5(f"5|{i // 2}".encode()).hexdigest()
+    df = spark.createDataFrame(rows, "i long, g string, want long").repartition(5)
+    got = mining.before(df, ["g"], choice_key("5", F.floor(F.col("i") / 2)), "i", {"place": F.lit(1), "had": F.col("want")})
+    assert got.columns == ["i", "g", "want", "place", "had", "place_all", "had_all"]
+    want, place, had = set(), Counter(), Counter()
+    for i, g, w in sorted((r for r in rows if r[1] is not None), key=lambda r: (key(r[0]), r[0])):
+        want.add((i, g, w, place[g], had[g]))
+        place[g] += 1
+        had[g] += w or 0
+    assert {tuple(r) for r in got.collect()} == {(*r, place[r[1]], had[r[1]]) for r in want}
+    assert mining.before(df.limit(0), ["g"], choice_key("5", F.col("i")), "i", {"place": F.lit(1)}).count() == 0
+
+
+def test_batch_plan_of_null_worlds(spark):
+    """Null worlds share one budget, and a boosted source has more of it."""
+    rows = [(i, None if i < 40 else "w", 2, "real" if i % 2 else "made") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, world_id string, requested long, source string")
+    got = planning.batch_plan(df, 11).collect()
+    for world in (None, "w"):
+        own = sorted((r for r in got if r.world_id == world), key=lambda r: r.batch_no)
+        ids = sorted((r[0] for r in rows if r[1] == world), key=lambda i: hashlib.md5(f"5|{i}".encode()).hexdigest())
+        assert [(r.batch_no, r.doc_id, r.requested) for r in own] == [(n, i, 1 if n == 5 else 2) for n, i in enumerate(ids[:6])]
+    more = planning.batch_plan(df, 11, boost={"real": 3}).collect()
+    assert all(sum(r.requested for r in more if r.world_id == w and r.doc_id % 2) > sum(r.requested for r in got if r.world_id == w and r.doc_id % 2) for w in (None, "w"))

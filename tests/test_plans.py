@@ -210,6 +210,7 @@ def test_scans_and_sinks(spark, tmp_path):
     assert scans.read_json(spark, str(tmp_path / "x" / "m.json")).first().b == 1
     (tmp_path / "q.jsonl").write_text('{"q": "x", "split": "val"}\n{"q": "y", "split": "test"}\n')
     assert [r.q for r in scans.read_split(spark, str(tmp_path / "q.jsonl"), "q string, split string", "val").collect()] == ["x"]
+    assert scans.read_split(spark, str(tmp_path / "q.jsonl"), "q string, split string", "").count() == scans.read_split(spark, str(tmp_path / "q.jsonl"), "q string, split string").count() > 1
     (tmp_path / "s.yaml").write_text("a: 1\nb:\n  c: 0.5 # note\n  d: text\n")
     assert scans.read_settings(str(tmp_path / "s.yaml")) == {"a": 1, "b": {"c": 0.5, "d": "text"}} == scans._plain_yaml((tmp_path / "s.yaml").read_text()) and scans.read_settings(None) == {}
     for run, side, m in (("r1", "base", 0.1), ("r1", "tuned", 0.3), ("r2", "base", 0.2)):
