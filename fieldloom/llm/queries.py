@@ -11,6 +11,7 @@ from fieldloom.llm.exact_dedup import exact_duplicates
 from fieldloom.llm.mixing import TARGETS, mix
 from fieldloom.llm.near_dedup import near_duplicates
 from fieldloom.llm.packing import pack
+from fieldloom.llm.passages import WORDS
 from fieldloom.llm.quality import quality_rules
 from fieldloom.llm.repeats import remove_repeats
 from fieldloom.llm.secrets import scan_secrets
@@ -65,7 +66,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+    return remove_repeats(table(spark, sf_dir, "documents"), words=WORDS).drop("kept_text")
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_url_filter, op3_quality_rules, op4_packing, op5_chat_windows, op6_exact_dedup, op7_mixing, op8_near_dedup, op9_secret_scan, op10_repeats)}

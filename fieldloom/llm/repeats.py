@@ -42,6 +42,13 @@ PIECE = "key long, did long, h long, lo int, hi int, at int, single boolean, cro
 PART = "key long, f1 long, f2 long, did long, h long, lo int, hi int, at int, single boolean, slice binary"
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
+
+
 class Prefix:
     """Prefix polynomial hashes modulo 2**64 over randomly coded bytes."""
 
@@ -62,20 +69,23 @@ class Prefix:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         """Hashes of all prefixes."""
-        n = len(data)
+        return self._sums(self.code[data])
+
+    def _sums(self, codes: np.ndarray) -> np.ndarray:
+        n = len(codes)
         self._powers(n + 1)
         s = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.code[data] * self.up[:n], out=s[1:])
+        np.cumsum(codes * self.up[:n], out=s[1:])
         return s
 
+    def grams(self, codes: np.ndarray, length: int) -> np.ndarray:
+        """A mixed hash of the ``length`` codes at each place."""
+        s = self._sums(codes)
+        return mixed((s[length:] - s[:-length]) * self.down[: len(codes) - length + 1])
+
     def strings(self, data: np.ndarray, length: int) -> np.ndarray:
         """A mixed hash of the string of ``length`` at each place."""
-        s = self.sums(data)
-        h = (s[length:] - s[:-length]) * self.down[: len(data) - length + 1]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        return h
+        return self.grams(self.code[data], length)
 
 
 def stretches(data: np.ndarray, prefix: Prefix, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -83,8 +93,13 @@ def stretches(data: np.ndarray, prefix: Prefix, size: int = SIZE, gram: int = GR
     n = len(data)
     if n < size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    g = prefix.strings(data, gram)
-    width, n_win = size - gram + 1, n - size + 1
+    return by_anchor(prefix.strings(data, gram), size, gram)
+
+
+def by_anchor(g: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches of the windows of ``size`` over the hashes g of the ``gram``s at each place."""
+    width = size - gram + 1
+    n_win = len(g) - width + 1
     packed = (g & ~PLACE) | np.arange(len(g), dtype=np.uint64)
     grid = np.full(-(-len(g) // width) * width, np.uint64(0xFFFFFFFFFFFFFFFF))
     grid[: len(g)] = packed
@@ -362,14 +377,14 @@ def _cut(size: int):
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 for c, v in zip(out, (len(raw), int(gone.sum()), int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")), strict=True):
                     c.append(v)
-            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string()), pa.array(out[4], pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), batch.column(5), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string()), pa.array(out[4], pa.string())], names=["doc_id", *ROW, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
         return one
 
     return per_batch(make)
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: int = MOST, chunk: int = CHUNK) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: int = MOST, chunk: int = CHUNK, words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text of every row.
 
     Null text is empty; texts under ``size`` bytes stay whole. Rows that repeat
@@ -377,6 +392,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: in
     bytes under ``size``-byte strings go. kept_text leaves out bytes of
     characters that were cut through; kept_sha256 is of the remaining bytes
     themselves. An empty table gives no rows. Other columns are not read.
+    With ``words``, n_shared_words says how many words of a row stand in passages
+    of that many words that another row holds too, of however few bytes; nothing
+    is removed for it.
     """
     keyed = _keyed(docs)
     found = materialize(anchors(keyed, size, gram, chunk), "anchors").withColumn("single", F.lit(True))
@@ -398,6 +416,11 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, most: in
         solved = solved.unionByName(whole).unionByName(_sorted(rest, size))
         crowd = rest.filter("crowded")
     runs = solved.groupBy(*ROW).agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
-    cut = held.join(runs, ROW, "left").select("doc_id", "text", "whole", "more").mapInArrow(_cut(size), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
-    rest = slotted.join(slots, "slot", "left_anti").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept_text"))
-    return cut.unionByName(rest)
+    cut = held.join(runs, ROW, "left").select("doc_id", "text", "whole", "more", *ROW).mapInArrow(_cut(size), "doc_id long, did long, h long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    rest = slotted.join(slots, "slot", "left_anti").select("doc_id", *ROW, F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").alias("kept_text"))
+    out = cut.unionByName(rest)
+    if words:
+        from fieldloom.llm.passages import shared_passages
+
+        out = out.join(shared_passages(keyed, words), ROW, "left").withColumn("n_shared_words", F.coalesce("n_shared_words", F.lit(0).cast("long")))
+    return out.drop(*ROW)
