@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from fieldloom.llm.common import materialize, per_batch
-from fieldloom.llm.toxicity import labelled_sample
+from fieldloom.llm.toxicity import fitted
 
 #: Domain (a value of the label) -> its share of the tokens.
 TARGETS = {0: 0.03, 1: 0.97}
@@ -174,7 +174,7 @@ def fit_rates(own: DataFrame, targets: list[float], most: int = STEPS, close: fl
 def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None, column: str, keep: list[str]) -> tuple[DataFrame, list[list[float]], float, int]:
     targets = targets or TARGETS
     domains = sorted(targets)
-    model = fit(labelled_sample(docs, labels, column, values=domains), domains)
+    model = Classifier(**fitted(docs, labels, column, lambda rows: vars(fit(rows, domains)), values=domains))
     own = materialize(memberships(docs, model).select(*keep, "_fl_tokens", "_fl_posterior"), "memberships")
     return own, *fit_rates(own, [targets[d] for d in domains]), len(domains)
 

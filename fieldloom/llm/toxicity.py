@@ -10,10 +10,12 @@ without punctuation stay a set of instances.
 
 from __future__ import annotations
 
+import pickle
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,16 @@ class Model:
     bias: float
     weights: np.ndarray
 
+    def __getstate__(self) -> tuple:
+        """Few weights aren't nought: only those go to the tasks."""
+        at = np.flatnonzero(self.weights).astype(np.int32)
+        return self.bias, len(self.weights), at, self.weights[at]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.bias, n, at, found = state
+        self.weights = np.zeros(n, found.dtype)
+        self.weights[at] = found
+
     def word_weights(self) -> dict:
         weights = self.weights
 
@@ -144,16 +156,8 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS, values: Sequence[int] = (0, 1)) -> list[tuple[str, int, float]]:
-    """(text, label, weight) of at most ``per_class`` labelled documents of each of the values outside the held-out fifth.
-
-    Documents are taken in the order of a hash of their id; the weight of a
-    class makes up for what the bound leaves out. Of labels given several times
-    the most frequent counts, of equally frequent ones the largest; one that
-    isn't among the values teaches nothing. Documents over ``most_chars`` aren't
-    taken, and labels without a document don't count. Of rows that repeat a
-    doc_id the one of least text hash teaches.
-    """
+def _sampled(docs: DataFrame, labels: DataFrame, column: str, per_class: int, most_chars: int, values: Sequence[int]) -> tuple[DataFrame | None, dict[int, int]]:
+    """(doc_id, label, text) of labelled_sample's documents, None without any, and the labelled documents of each value."""
     votes = labels.filter(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id", F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     voted = votes.groupBy("doc_id").agg(F.max_by("label", F.struct("n", "label")).alias("label")).filter(F.col("label").isin(*values)).withColumn("label", F.col("label").cast("int"))
     there = docs.filter(F.char_length(F.coalesce("text", F.lit(""))) <= most_chars).select("doc_id").distinct()
@@ -164,14 +168,53 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         part = own.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     if ids is None:
-        return []
+        return None, counts
     # at most so many ids as values * per_class, and a row for each
     found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.char_length(F.coalesce("text", F.lit(""))) <= most_chars)
-    rows = found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).orderBy("doc_id").collect()
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")), counts
+
+
+def _weighted(rows: Iterable[tuple[int, str | None]], counts: dict[int, int]) -> list[tuple[str, int, float]]:
+    """(text, label, weight) of (label, text)."""
+    rows = list(rows)
     got: dict[int, int] = {}
-    for r in rows:
-        got[r["label"]] = got.get(r["label"], 0) + 1
-    return [(r["text"] or "", r["label"], counts[r["label"]] / got[r["label"]]) for r in rows]
+    for label, _ in rows:
+        got[label] = got.get(label, 0) + 1
+    return [(text or "", label, counts[label] / got[label]) for label, text in rows]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS, values: Sequence[int] = (0, 1)) -> list[tuple[str, int, float]]:
+    """(text, label, weight) of at most ``per_class`` labelled documents of each of the values outside the held-out fifth.
+
+    Documents are taken in the order of a hash of their id; the weight of a
+    class makes up for what the bound leaves out. Of labels given several times
+    the most frequent counts, of equally frequent ones the largest; one that
+    isn't among the values teaches nothing. Documents over ``most_chars`` aren't
+    taken, and labels without a document don't count. Of rows that repeat a
+    doc_id the one of least text hash teaches.
+    """
+    sample, counts = _sampled(docs, labels, column, per_class, most_chars, values)
+    return [] if sample is None else _weighted(((r["label"], r["text"]) for r in sample.orderBy("doc_id").collect()), counts)
+
+
+def fitted(docs: DataFrame, labels: DataFrame, column: str, learn: Callable[[list[tuple[str, int, float]]], Any], per_class: int = PER_CLASS, most_chars: int = MOST_CHARS, values: Sequence[int] = (0, 1)) -> Any:
+    """``learn`` of the labelled_sample, in a task: the driver gets its result, plain values and arrays, and never the texts."""
+    sample, counts = _sampled(docs, labels, column, per_class, most_chars, values)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(_weighted(rows, counts)))], pa.binary())], names=["model"])
+
+    # one task for so many rows as values * per_class at most
+    got = [] if sample is None else sample.coalesce(1).sortWithinPartitions("doc_id").select("label", "text").mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else learn([])
+
+
+def taught(docs: DataFrame, labels: DataFrame, column: str, per_class: int = PER_CLASS) -> Model:
+    """The model that fit makes of the labelled_sample."""
+    model = Model(0.0, np.zeros(0, np.float32))
+    model.__setstate__(fitted(docs, labels, column, lambda rows: fit(rows).__getstate__(), per_class))
+    return model
 
 
 def score_documents(docs: DataFrame, model: Model, sentence_at: float = 0.5) -> DataFrame:
@@ -214,7 +257,7 @@ def judge_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", pe
     not held out. Null, empty and wordless texts score 0. Without labels of both
     kinds nothing is called toxic; an empty table gives no rows.
     """
-    scored = score_documents(docs, fit(labelled_sample(docs, labels, column, per_class)))
+    scored = score_documents(docs, taught(docs, labels, column, per_class))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "offending")
 
 
@@ -224,7 +267,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Each row goes or stays by its own text, in the pass that reads it, whatever
     other rows have its doc_id. Null and empty texts stay.
     """
-    model = fit(labelled_sample(docs, labels, "toxic"))
+    model = taught(docs, labels, "toxic")
     place = docs.columns.index("text")
 
     def make():

@@ -1,3 +1,5 @@
+import os
+import pickle
 import zlib
 
 import numpy as np
@@ -197,6 +199,30 @@ def test_toxicity_of_rows_that_repeat_an_id(spark, docs, labels):
     assert all(r.score < 1e-3 for r in got if r.doc_id is None)
 
 
+def test_fits_leave_the_texts_to_a_task(docs, labels):
+    """The driver neither collects the labelled texts nor fits on them, and gets the model it would have fitted."""
+    rows = toxicity.labelled_sample(docs, labels, "toxic")
+    here, there = toxicity.fit(rows), toxicity.taught(docs, labels, "toxic")
+    assert here.bias == there.bias and (here.weights == there.weights).all() and there.weights.any()
+    assert len(pickle.dumps(there)) < there.weights.nbytes / 8
+    pid, same = toxicity.fitted(docs, labels, "toxic", lambda got: (os.getpid(), got))
+    assert pid != os.getpid() and same == rows
+    assert toxicity.fitted(docs, labels.limit(0), "toxic", len) == toxicity.fitted(docs.limit(0), labels, "toxic", len) == 0
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "mixing"])
+def test_pipeline_collects_no_texts(spark, small, monkeypatch, stage):
+    import corpus_pipeline
+
+    def collected(*_, **__):
+        raise AssertionError("the driver holds the labelled texts")
+
+    for module in (toxicity, mixing):
+        monkeypatch.setattr(module, "labelled_sample", collected, raising=False)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert dict(corpus_pipeline.STAGES)[stage](spark, docs, small).count()
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 
