@@ -64,6 +64,14 @@ def test_mined_negatives(spark):
     assert got["4"].negative_coordinates  # by coordinate alone
 
 
+def test_alias_siblings_pair_coordinates_not_rows(spark):
+    """300 rows of each of two coordinates: the aliases' join makes a row a pair, not 300 times 300."""
+    got = mining.alias_siblings(coords(spark, [("w", "A", "id", "Int", ["key"]), ("w", "A", "key", "Int", ["id"])] * 300))
+    assert {(r.coordinate, r.negative) for r in got.collect()} == {("A.id", "A.key"), ("A.key", "A.id")}
+    joined = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple").split("Join", 1)[1]
+    assert joined.count("Aggregate") >= 4  # both sides are distinct before they meet
+
+
 def test_competition_prefers_described_owners(spark):
     rows = [("w", f"O{i}", "status", "String", []) for i in range(20)]
     df = coords(spark, rows).selectExpr("*", "case when owner_type in ('O1', 'O2', 'O3') then 'told' else ' ' end as owner_description")
