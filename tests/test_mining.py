@@ -31,6 +31,12 @@ def test_confusers_beyond_repeated_coordinates(spark):
     assert {(r.coordinate, r.negative) for r in got} == {("A.name", "B.name"), ("B.name", "A.name")}
 
 
+def test_confusers_of_two_return_types(spark):
+    """A coordinate with rows of two types is in two groups and has a row for each, as in the SQL, though the other of both is the same."""
+    got = mining.confusers(coords(spark, [("w", o, "f", t, []) for o in "AB" for t in ("Int", "ID")])).filter("tag = 'same_return_type'").collect()
+    assert sorted((r.coordinate, r.negative) for r in got) == [("A.f", "B.f")] * 2 + [("B.f", "A.f")] * 2
+
+
 def test_lone_coordinate_gets_any_of_its_world(spark):
     got = mining.confusers(coords(spark, [("w", "A", "x", "Int", []), ("w", "B", "y", "Int2", []), ("v", "B", "z", "Int2", [])])).collect()
     assert {(r.world_id, r.coordinate, r.tag, r.negative) for r in got} == {("w", "A.x", "semantic", "B.y"), ("w", "B.y", "semantic", "A.x")}
