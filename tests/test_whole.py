@@ -43,6 +43,19 @@ def test_query_variants(spark, late):
     assert {r.doc_id: r.variant for r in got}[2] == f"Show the type of {LONG} one number?"
 
 
+def test_variants_of_equal_rewrites(spark):
+    """Of a query that two of the swaps change, three rewrites are left for the noisy forms, and all forms are there."""
+    from pyspark.sql import functions as F
+
+    from fieldloom.operators import generation
+
+    df = spark.createDataFrame([("show the type  number?",)], "q string").select(generation.variants(F.col("q"), 99).alias("v"))
+    base = ["show the type  number?", "list the type  number?", "show the type  num?"]
+    forms = {f.strip() for b in base for f in (b, b.lower(), b.replace("?", ""), b.replace("  ", " "), b.replace("type", "typ"))}
+    assert df.first().v == [base[0], *sorted(forms - {base[0]})]
+    assert spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple").count("array_distinct") >= 2
+
+
 def test_valid_items(spark, tmp_path):
     # difficulty, intent and positive of a row follow from its id: these pass all of their checks
     good = [d for d in range(1, 100) if d % 4 != 3 and d % 3 != 2][:3]
